@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentledger.functions.ordering import asc
@@ -22,8 +22,9 @@ def assign_ids(source: DataFrame, table: DataFrame, id_column: str, order: Seque
     The new rows are range-partitioned, so no task sees more than its share;
     a last key made from the row's position cuts through runs of equal order
     keys. The sorted rows are written to reliable storage once, because ids
-    must not change when they are read again. What is broadcast is one row per
-    partition: the number of rows before it.
+    must not change when they are read again. Only the row count of each
+    partition and the largest id come to the driver; the counts, one row per
+    partition, go back out as a broadcast.
     """
     keys = [asc(k) if isinstance(k, str) else k for k in order]
     sorted_rows = (
@@ -32,18 +33,16 @@ def assign_ids(source: DataFrame, table: DataFrame, id_column: str, order: Seque
         .sortWithinPartitions(*keys, "_tie")
         .drop("_tie")
     )
-    placed = durable(sorted_rows.withColumn("_place", F.monotonically_increasing_id()))
-    placed = placed.withColumns(
-        {
-            "_shard": F.shiftright("_place", _POSITION_BITS),
-            "_position": F.col("_place").bitwiseAND(F.lit(_POSITION_MASK)) + 1,
-        }
-    )
-    sizes = placed.groupBy("_shard").agg(F.max("_position").alias("_size"))
-    before = Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_shard", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    highest = F.coalesce(table.agg(F.max(id_column)).scalar(), F.lit(0))
-    numbered = placed.join(F.broadcast(starts), "_shard").withColumn(
-        id_column, (highest + F.col("_start") + F.col("_position")).cast("long")
+    placed = durable(sorted_rows.withColumn("_place", F.monotonically_increasing_id())).withColumn(
+        "_shard", F.shiftright("_place", _POSITION_BITS)
     )
+    position = F.col("_place").bitwiseAND(F.lit(_POSITION_MASK))
+    sizes = placed.groupBy("_shard").agg(F.count(F.lit(1)).alias("size")).orderBy("_shard").collect()
+    next_id = (table.agg(F.max(id_column)).first()[0] or 0) + 1
+    starts = []
+    for shard, size in sizes:
+        starts.append((shard, next_id))
+        next_id += size
+    first_ids = source.sparkSession.createDataFrame(starts, "_shard BIGINT, _first BIGINT")
+    numbered = placed.join(F.broadcast(first_ids), "_shard").withColumn(id_column, F.col("_first") + position)
     return numbered.select(id_column, *(c for c in source.columns if c != id_column))

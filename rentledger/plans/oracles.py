@@ -594,18 +594,18 @@ ORACLES["load_dates"] = " UNION ALL ".join(
 )
 
 ORACLES["fleet_load"] = """
-    SELECT 'vehicle_type' AS table_name, count(DISTINCT p_type) AS row_count, CAST(0 AS BIGINT) AS n_violations FROM part
-    UNION ALL SELECT 'app_user', count(*), 0 FROM customer
-    UNION ALL SELECT 'employee', count(*), 0 FROM supplier
-    UNION ALL SELECT 'vehicle', count(*), 0 FROM part
-    UNION ALL SELECT 'maintenance_event', count(*), 0 FROM part
-    UNION ALL SELECT 'inspection_event', count(*), 0 FROM supplier JOIN part ON p_partkey = s_suppkey
-    UNION ALL SELECT t, count(*), 0
+    SELECT 'vehicle_type' AS table_name, count(DISTINCT p_type) AS row_count FROM part
+    UNION ALL SELECT 'app_user', count(*) FROM customer
+    UNION ALL SELECT 'employee', count(*) FROM supplier
+    UNION ALL SELECT 'vehicle', count(*) FROM part
+    UNION ALL SELECT 'maintenance_event', count(*) FROM part
+    UNION ALL SELECT 'inspection_event', count(*) FROM supplier JOIN part ON p_partkey = s_suppkey
+    UNION ALL SELECT t, count(*)
               FROM orders JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = o_custkey,
                    (VALUES ('reservation'), ('trip'), ('payment'), ('rating')) v(t)
               GROUP BY t
-    UNION ALL SELECT 'maintenance_event_employee', count(*), 0 FROM supplier JOIN part ON p_partkey = s_suppkey
-    UNION ALL SELECT 'vehicle_status_history', count(*), 0 FROM orders JOIN part ON p_partkey = o_custkey
+    UNION ALL SELECT 'maintenance_event_employee', count(*) FROM supplier JOIN part ON p_partkey = s_suppkey
+    UNION ALL SELECT 'vehicle_status_history', count(*) FROM orders JOIN part ON p_partkey = o_custkey
 """
 
 ORACLES["fleet_trip_measures"] = f"""
@@ -615,6 +615,26 @@ ORACLES["fleet_trip_measures"] = f"""
     GROUP BY 1
 """
 
+_VEHICLES = "SELECT p_partkey, row_number() OVER (ORDER BY 'V' || p_partkey) AS vehicle_id FROM part"
+
+ORACLES["fleet_trip_audit"] = f"""
+    WITH vehicle AS ({_VEHICLES}),
+    trip AS (
+        SELECT {MONEY.format('o_totalprice')} AS cost, vehicle_id * 2 AS vehicle_id
+        FROM orders JOIN customer ON c_custkey = o_custkey JOIN vehicle ON p_partkey = o_custkey
+    )
+    SELECT "constraint", CAST(0 AS BIGINT) AS n_violations
+    FROM (VALUES ('trip_id_not_null'), ('user_id_not_null'), ('vehicle_id_not_null'), ('started_at_not_null'),
+                 ('start_odometer_km_not_null'), ('trip_status_not_null'), ('trip_status_length'),
+                 ('start_odometer_km_decimal'), ('end_odometer_km_decimal'), ('distance_km_decimal'),
+                 ('total_cost_decimal'), ('trip_status_domain'), ('started_after_2000'), ('ended_not_before_started'),
+                 ('start_odometer_not_negative'), ('end_odometer_not_below_start'), ('trip_id_unique'),
+                 ('reservation_id_unique'), ('user_id_reference'), ('reservation_id_reference')) v("constraint")
+    UNION ALL SELECT 'cost_not_negative', count(*) FROM trip WHERE cost < 100000
+    UNION ALL SELECT 'vehicle_id_reference', count(*) FROM trip
+              WHERE vehicle_id NOT IN (SELECT vehicle_id FROM vehicle)
+"""
+
 ORACLES["principal_name_forms"] = r"""
     SELECT s_suppkey, 'client_O_NEIL_' || regexp_replace(upper(s_name), '[^A-Z0-9]+', '_', 'g') AS normal,
            'client_o''neil_' || s_name AS "raw"

@@ -75,7 +75,7 @@ from rentledger.operators.joins import (
 from rentledger.operators.ordering import first_by, order, top_k
 from rentledger.operators.policy import first_active, policy_leaks, principal_names, visible_rows
 from rentledger.plans import recipes
-from rentledger.plans.fleet import audit_fleet, empty_fleet, load_fleet
+from rentledger.plans.fleet import SPECS, audit_fleet_table, empty_fleet, load_fleet
 from rentledger.plans.reports import (
     films_in_category,
     genre_counts_per_year,
@@ -1196,20 +1196,24 @@ def fleet_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 @query
 def fleet_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows and broken rules per table after loading all twelve fleet tables."""
+    """Rows per table after loading all twelve fleet tables."""
     changes = load_fleet(empty_fleet(spark), fleet_seeds(spark, folder), dt.datetime(2020, 1, 1))
-    tables = {name: change.table for name, change in changes.items()}
-    broken = audit_fleet(tables).groupBy("table_name").agg(F.sum("n_violations").alias("n_violations"))
-    return count_report(tables).join(broken, "table_name")
+    return count_report({name: change.table for name, change in changes.items()})
+
+
+TRIP_TABLES = ("vehicle_type", "app_user", "vehicle", "reservation", "trip")
+
+
+def loaded_trips(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    seeds = fleet_seeds(spark, folder)
+    changes = load_fleet(empty_fleet(spark), {name: seeds[name] for name in TRIP_TABLES}, dt.datetime(2020, 1, 1))
+    return {name: change.table for name, change in changes.items()}
 
 
 @query
 def fleet_trip_measures(spark: SparkSession, folder: str) -> DataFrame:
     """Generated columns of the loaded trips, per number of minutes."""
-    seeds = fleet_seeds(spark, folder)
-    needed = ("vehicle_type", "app_user", "vehicle", "reservation", "trip")
-    changes = load_fleet(empty_fleet(spark), {name: seeds[name] for name in needed}, dt.datetime(2020, 1, 1))
-    trip = changes["trip"].table
+    trip = loaded_trips(spark, folder)["trip"]
     return shown(
         trip.groupBy("duration_minutes").agg(
             F.count("reservation_id").alias("n_trips"), F.sum("distance_km").alias("distance_km")
@@ -1218,6 +1222,20 @@ def fleet_trip_measures(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def fleet_trip_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """All rules of the trip table, over the loaded trips with their costs and ends cut down to break some."""
+    tables = loaded_trips(spark, folder)
+    tables["trip"] = tables["trip"].withColumns(
+        {
+            "total_cost": F.col("total_cost") - 100000,
+            "end_odometer_km": F.nullif(F.col("end_odometer_km"), F.col("start_odometer_km")),
+            "vehicle_id": F.col("vehicle_id") * 2,
+        }
+    )
+    return audit_fleet_table(SPECS["trip"], tables)
+
+
 @query
 def principal_name_forms(spark: SparkSession, folder: str) -> DataFrame:
     """The principal's normal form beside the form that takes the names as stored."""
