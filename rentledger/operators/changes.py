@@ -107,22 +107,26 @@ def insert_skip_conflicts(
     id_order: Sequence[str | Column] = (),
     defaults: Mapping[str, object] | None = None,
     other_keys: Sequence[Sequence[str]] = (),
+    nullable_key: bool = True,
 ) -> ChangeResult:
     """Insert source rows whose unique key is neither in the table nor earlier in the source.
 
-    "Earlier" means first in `order`. A key with a NULL part never conflicts.
-    Only this key is forgiven: a repeat in one of `other_keys` is an error.
+    "Earlier" means first in `order`. A key with a NULL part never conflicts;
+    `nullable_key=False` says that there is none and saves reading the source
+    for it. Only this key is forgiven: a repeat in one of `other_keys` is an error.
     """
     complete = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in key))
     rest = [c for c in source.columns if c not in key]
     firsts = (
-        source.where(complete)
+        (source.where(complete) if nullable_key else source)
         .groupBy(*key)
         .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row") if rest else F.lit(1).alias("_row"))
         .select(*key, *(F.col("_row")[c].alias(c) for c in rest))
         .select(*source.columns)
     )
-    fresh = new_rows(firsts, table, list(key), unique_source=True).unionByName(source.where(~complete))
+    fresh = new_rows(firsts, table, list(key), unique_source=True)
+    if nullable_key:
+        fresh = fresh.unionByName(source.where(~complete))
     result = _inserted(table, fresh, id_column, id_order, defaults)
     for other in other_keys:
         enforce(unique_conflicts(table, result.affected, list(other)))

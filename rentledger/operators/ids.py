@@ -16,24 +16,33 @@ _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
-def assign_ids(source: DataFrame, table: DataFrame, id_column: str, order: Sequence[str | Column]) -> DataFrame:
-    """Number the rows in `order`, upwards from the largest id of the table.
-
-    The new rows are range-partitioned, so no task sees more than its share;
-    a last key made from the row's position cuts through runs of equal order
-    keys. The sorted rows are written to reliable storage once, because ids
-    must not change when they are read again. Only the row count of each
-    partition and the largest id come to the driver; the counts, one row per
-    partition, go back out as a broadcast.
+def assign_ids(source: DataFrame, table: DataFrame, id_column: str, order: Sequence[str | Column] = ()) -> DataFrame:
+    """Number the rows without gaps, upwards from the largest id of the table.
+
+    The rows are written to reliable storage once with their place (partition
+    and position), because ids must not change when they are read again or an
+    executor is lost. No shuffle is needed for that, and no window over all rows.
+
+    With `order` the ids follow that order: the rows are range-partitioned and
+    sorted before they are placed. The last sort key is the row's position, so
+    that a long run of equal keys, even of exact copies, is cut into several
+    partitions. Positions are only repeatable over stored rows, so these are
+    stored before the sort as well.
+
+    The driver sees one row count per partition and the largest id; the counts
+    go back out as a broadcast of one row per partition.
     """
-    keys = [asc(k) if isinstance(k, str) else k for k in order]
-    sorted_rows = (
-        source.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*keys, "_tie")
-        .sortWithinPartitions(*keys, "_tie")
-        .drop("_tie")
-    )
-    placed = durable(sorted_rows.withColumn("_place", F.monotonically_increasing_id())).withColumn(
+    rows = source
+    if order:
+        keys = [asc(k) if isinstance(k, str) else k for k in order]
+        rows = (
+            durable(source)
+            .withColumn("_tie", F.monotonically_increasing_id())
+            .repartitionByRange(*keys, "_tie")
+            .sortWithinPartitions(*keys, "_tie")
+            .drop("_tie")
+        )
+    placed = durable(rows.withColumn("_place", F.monotonically_increasing_id())).withColumn(
         "_shard", F.shiftright("_place", _POSITION_BITS)
     )
     position = F.col("_place").bitwiseAND(F.lit(_POSITION_MASK))

@@ -303,7 +303,7 @@ def add_rental_now(rental: DataFrame, moment: Column, copy: int, customer: int,
         F.lit(clerk).alias("staff_id"),
         moment.alias("last_update"),
     )
-    return insert_rows(rental, new, id_column="rental_id", id_order=["rental_date"])
+    return insert_rows(rental, new, id_column="rental_id")
 
 
 def touch_latest_rental(rental: DataFrame, moment: Column) -> ChangeResult:

@@ -1230,7 +1230,7 @@ def fleet_trip_audit(spark: SparkSession, folder: str) -> DataFrame:
         {
             "total_cost": F.col("total_cost") - 100000,
             "end_odometer_km": F.nullif(F.col("end_odometer_km"), F.col("start_odometer_km")),
-            "vehicle_id": F.col("vehicle_id") * 2,
+            "vehicle_id": -F.col("vehicle_id"),
         }
     )
     return audit_fleet_table(SPECS["trip"], tables)
