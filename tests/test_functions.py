@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from rentledger import functions as fn
+from tests.fixtures import ts, values
+
+
+def one(spark, *columns):
+    return values(spark.range(1).select(*columns))[0]
+
+
+def test_case_insensitive_equality(spark):
+    null = F.lit(None).cast("string")
+    got = one(
+        spark,
+        fn.eq_ci(F.lit("Ab"), F.lit("aB")),
+        fn.eq_ci(null, F.lit("")),
+        fn.eq_ci_null_as_empty(null, F.lit("")),
+        fn.eq_ci_null_as_empty(null, F.lit("x")),
+    )
+    assert got == (True, None, True, False)
+
+
+def test_join_text_skips_null_and_keeps_empty(spark):
+    null = F.lit(None).cast("string")
+    got = one(
+        spark,
+        fn.join_text(", ", F.lit("a"), null),
+        fn.join_text(", ", F.lit("a"), F.lit("")),
+        fn.join_text(", ", null, null),
+        fn.starred("p", F.lit(7)),
+        fn.starred("p", null),
+    )
+    assert got == ("a", "a, ", "", "p7", None)
+
+
+def test_number_after_rejects_other_text(spark):
+    assert one(spark, fn.number_after(F.lit("row12"), "row")) == (12,)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        one(spark, fn.number_after(F.lit("rowx"), "row"))
+
+
+@pytest.mark.parametrize("value, text", [("G", "all"), ("R", "adult"), ("Q", "Unknown"), (None, "Unknown")])
+def test_label(spark, value, text):
+    column = F.lit(value).cast("string")
+    assert one(spark, fn.label(column, {"G": "all", "R": "adult"}, "Unknown")) == (text,)
+
+
+def test_principal_name(spark):
+    first, last = F.lit("Mary Ann"), F.lit("O'Neil-2")
+    assert one(spark, fn.principal_name(first, last), fn.principal_name(first, last, raw=True)) == (
+        "client_MARY_ANN_O_NEIL_2",
+        "client_Mary Ann_O'Neil-2",
+    )
+
+
+@pytest.mark.parametrize(
+    "size, text",
+    [
+        (0, "0 bytes"),
+        (8192, "8192 bytes"),
+        (10239, "10239 bytes"),
+        (10240, "10 kB"),
+        (10485247, "10239 kB"),
+        (10485248, "10 MB"),
+        (401580032, "383 MB"),
+        (602000000, "574 MB"),
+        (-2048, "-2048 bytes"),
+        (20000 * 2**30, "20 TB"),
+        (None, None),
+    ],
+)
+def test_size_pretty(spark, size, text):
+    assert one(spark, fn.size_pretty(F.lit(size).cast("long"))) == (text,)
+
+
+def minutes(start, end):
+    return fn.whole_minutes(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+
+
+def test_whole_minutes(spark):
+    start = ts("2024-01-01 10:00:00")
+    got = one(
+        spark,
+        minutes(start, ts("2024-01-01 10:01:59")),
+        minutes(start, ts("2024-01-01 09:00:00")),
+        minutes(start, None),
+        minutes(None, start),
+    )
+    assert got == (1, 0, None, 0)
+
+
+def test_difference_and_ranges(spark):
+    noon = F.lit(ts("2024-01-01 12:00:00"))
+    got = one(
+        spark,
+        fn.difference(F.lit(2), F.lit(5)),
+        fn.difference(F.lit(2), F.lit(None).cast("int")),
+        fn.in_range(F.lit(5), 5, 6),
+        fn.in_range(F.lit(6), 5, 6),
+        fn.on_or_after(noon, dt.date(2024, 1, 1)),
+        fn.on_or_after(noon, dt.date(2024, 1, 2)),
+        fn.add_days(noon, F.lit(3)),
+        fn.years_since(dt.date(2024, 5, 1), F.lit(2020)),
+    )
+    assert got == (3, None, True, False, True, False, ts("2024-01-04 12:00:00"), 4)
+
+
+def test_null_sorts_as_the_largest(spark):
+    t = spark.createDataFrame([(1,), (None,), (2,)], "x INT")
+    assert values(t.orderBy(fn.asc("x"))) == [(1,), (2,), (None,)]
+    assert values(t.orderBy(fn.desc("x"))) == [(None,), (2,), (1,)]

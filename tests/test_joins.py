@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rentledger.operators import joins
+from tests.fixtures import bag, values
+
+L = "k INT, v STRING"
+
+
+@pytest.fixture
+def left(spark):
+    return spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e")], L)
+
+
+@pytest.fixture
+def right(spark):
+    return spark.createDataFrame([(1,), (1,), (None,), (4,)], "k INT")
+
+
+@pytest.mark.parametrize("unique", [None, "left"])
+def test_semi_and_anti(left, right, unique):
+    assert bag(joins.semi_join(left, right, ["k"], unique=unique)) == [(1, "a"), (1, "b")]
+    assert bag(joins.anti_join(left, right, ["k"], unique=unique)) == [(2, "c"), (3, "e"), (None, "d")]
+
+
+def test_expression_and_composite_keys(spark, left):
+    other = spark.createDataFrame([("A", 1), ("C", 9)], "w STRING, n INT")
+    on, right_on = [F.upper("v"), "k"], ["w", "n"]
+    assert bag(joins.semi_join(left, other, on, right_on)) == [(1, "a")]
+    assert len(bag(joins.anti_join(left, other, on, right_on))) == 4
+
+
+keys = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 1))), max_size=8)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys, keys)
+def test_existence_against_brute_force(spark, ours, theirs):
+    ddl = "a INT, b INT"
+    left, right = spark.createDataFrame(ours, ddl), spark.createDataFrame(theirs, ddl)
+    known = {k for k in theirs if None not in k}
+    assert bag(joins.semi_join(left, right, ["a", "b"])) == sorted((k for k in ours if k in known), key=repr)
+    assert bag(joins.anti_join(left, right, ["a", "b"])) == sorted((k for k in ours if k not in known), key=repr)
+
+
+def test_left_join_filtered_keeps_unmatched(spark, left):
+    facts = spark.createDataFrame([(1, 10), (1, 20), (2, 5)], "k INT, n INT")
+    got = joins.left_join_filtered(left, facts, ["k"], F.col("n") >= 10)
+    assert ("c", None) in [(v, n) for _, v, n in values(got)]
+    assert got.count() == 7
+
+
+def test_through(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "i INT, l STRING")
+    bridge = spark.createDataFrame([(1, 7), (1, 8)], "i INT, j INT")
+    b = spark.createDataFrame([(7, "p"), (9, "q")], "j INT, r STRING")
+    assert bag(joins.through(a, bridge, b, "i", "j")) == [(7, 1, "x", "p")]
+    assert joins.through(a, bridge, b, "i", "j", how="left").count() == 3
+
+
+@pytest.mark.parametrize("unique", ["left", None])
+def test_with_agg(spark, left, unique):
+    facts = spark.createDataFrame([(1, 10), (1, None), (None, 3)], "f INT, n INT")
+    aggregates = {"total": F.sum("n"), "n_rows": F.count(F.lit(1))}
+    got = joins.with_agg(left, facts, ["k"], aggregates, ["f"], zero=["n_rows"], unique=unique)
+    assert bag(got.drop("k")) == [
+        ("a", 10, 2),
+        ("b", 10, 2),
+        ("c", None, 0),
+        ("d", None, 0),
+        ("e", None, 0),
+    ]
+
+
+def test_one_row_relation(spark, left):
+    one = spark.createDataFrame([(7, None)], "x INT, y INT")
+    assert values(joins.with_one_row(left, one).where("v = 'c'")) == [(2, "c", 7, None)]
+    assert joins.with_one_row(left, one.limit(0)).count() == 0
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        joins.with_one_row(left, one.union(one)).collect()
+
+
+def test_compare_with_scalar(spark, left):
+    two = spark.createDataFrame([(2,)], "x INT")
+    assert values(joins.eq_scalar(left, "k", two)) == [(2, "c")]
+    assert bag(joins.ne_scalar(left, "k", two)) == [(1, "a"), (1, "b"), (3, "e")]
+    for nothing in (two.limit(0), two.select(F.lit(None).cast("int").alias("x"))):
+        assert joins.eq_scalar(left, "k", nothing).count() == 0
+        assert joins.ne_scalar(left, "k", nothing).count() == 0
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        joins.eq_scalar(left, "k", two.union(two)).collect()
+
+
+def test_resolve_keys(spark):
+    seed = spark.createDataFrame([("Ann", 1), ("bob", 2), (None, 3)], "name STRING, n INT")
+    people = spark.createDataFrame([("Ann", 10), ("Bob", 20), (None, 30)], "who STRING, id INT")
+    on, take = {"name": "who"}, {"person_id": "id"}
+    assert bag(joins.resolve_keys(seed, people, on, take)) == [("Ann", 1, 10)]
+    assert bag(joins.resolve_keys(seed, people, on, take, ci=True)) == [("Ann", 1, 10), ("bob", 2, 20)]
+    assert bag(joins.resolve_keys(seed, people, on, take, how="left")) == [
+        ("Ann", 1, 10),
+        ("bob", 2, None),
+        (None, 3, None),
+    ]
+
+
+def hot(spark):
+    """A third of the rows share one key, and exact copies at that."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000)
+    return spark.range(0, 600000, 1, 8).select(key.alias("k"), (key * 2).alias("v"))
+
+
+@pytest.mark.parametrize("how", ["semi", "anti"])
+def test_hot_key_is_split_at_run_time(spark, conf, how):
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        shuffle__partitions="16",
+    )
+    keys = spark.range(0, 2000, 1, 4).select((F.col("id") % 1000).alias("k"))
+    join = joins.semi_join if how == "semi" else joins.anti_join
+    found = join(hot(spark), keys, ["k"])
+    rows = len(found.collect())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+    expected = sum(1 for i in range(600000) if ((7 if i % 3 == 0 else i % 5000) < 1000) == (how == "semi"))
+    assert rows == expected
