@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,12 @@ _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
+def _local_table(starts: list[tuple[int, int]]) -> pa.Table:
+    """As an Arrow table, which becomes a local relation of known size."""
+    shards, first_ids = zip(*starts) if starts else ((), ())
+    return pa.table({"_shard": pa.array(shards, pa.int64()), "_first": pa.array(first_ids, pa.int64())})
+
+
 def assign_ids(source: DataFrame, table: DataFrame, id_column: str, order: Sequence[str | Column] = ()) -> DataFrame:
     """Number the rows without gaps, upwards from the largest id of the table.
 
@@ -52,6 +59,6 @@ def assign_ids(source: DataFrame, table: DataFrame, id_column: str, order: Seque
     for shard, size in sizes:
         starts.append((shard, next_id))
         next_id += size
-    first_ids = source.sparkSession.createDataFrame(starts, "_shard BIGINT, _first BIGINT")
+    first_ids = source.sparkSession.createDataFrame(_local_table(starts))
     numbered = placed.join(F.broadcast(first_ids), "_shard").withColumn(id_column, F.col("_first") + position)
     return numbered.select(id_column, *(c for c in source.columns if c != id_column))

@@ -42,9 +42,26 @@ def conf(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def stored(tables, folder):
+    """The tables read back from Parquet, as they would be in use."""
+    found = {}
+    for name, table in tables.items():
+        table.coalesce(1).write.parquet(f"{folder}/{name}")
+        found[name] = table.sparkSession.read.parquet(f"{folder}/{name}")
+    return found
+
+
 @pytest.fixture(scope="session")
-def shop(spark):
+def shop(spark, tmp_path_factory):
     """Small film-rental tables with all the awkward rows."""
     from tests.fixtures import film_rental
 
-    return film_rental(spark)
+    return stored(film_rental(spark), tmp_path_factory.mktemp("shop"))
+
+
+@pytest.fixture(scope="session")
+def seeds(spark, tmp_path_factory):
+    """Two rows per fleet table, with natural keys."""
+    from tests.fixtures import fleet_seeds
+
+    return stored(fleet_seeds(spark), tmp_path_factory.mktemp("fleet"))
