@@ -1,5 +1,6 @@
 """Scalar helpers: Columns in, Columns out, all inside whole-stage codegen."""
 
+from rentledger.functions.domains import RATINGS, member_of, within
 from rentledger.functions.ordering import asc, desc
 from rentledger.functions.text import (
     eq_ci,
@@ -21,6 +22,7 @@ from rentledger.functions.temporal import (
 )
 
 __all__ = [
+    "RATINGS",
     "add_days",
     "asc",
     "desc",
@@ -30,11 +32,13 @@ __all__ = [
     "in_range",
     "join_text",
     "label",
+    "member_of",
     "number_after",
     "on_or_after",
     "principal_name",
     "size_pretty",
     "starred",
     "whole_minutes",
+    "within",
     "years_since",
 ]

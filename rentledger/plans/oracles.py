@@ -185,6 +185,12 @@ ORACLES["top_orders"] = "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orde
 
 ORACLES["first_customers"] = "SELECT * FROM customer ORDER BY c_custkey LIMIT 10"
 
+ORACLES["inline_rows"] = """
+    SELECT meaning, count(*) AS n_lines
+    FROM lineitem JOIN (VALUES ('A', 'accepted'), ('R', 'returned'), ('Z', NULL)) v(flag, meaning) ON flag = l_returnflag
+    GROUP BY meaning
+"""
+
 ORACLES["bridge_join"] = """
     SELECT s_name, p_type, count(DISTINCT (s_suppkey, p_partkey)) AS n_parts
     FROM supplier JOIN lineitem ON l_suppkey = s_suppkey JOIN part ON p_partkey = l_partkey
@@ -265,7 +271,8 @@ ORACLES["scalar_functions"] = """
            CASE c_mktsegment WHEN 'BUILDING' THEN 'B' WHEN 'MACHINERY' THEN 'M' ELSE 'Unknown' END AS labelled,
            CAST(greatest(floor(c_acctbal), 0) AS BIGINT) AS clamped, CAST(power(c_nationkey, 2) AS DOUBLE) AS squared,
            (c_custkey + 7) % 5 AS remainder, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS as_text,
-           CAST(NULL AS VARCHAR) AS typed_null
+           array_to_string([c_name, c_mktsegment], '|') AS array_text, TRUE AS typed_null,
+           c_mktsegment AS checked_text, c_nationkey AS checked_number
     FROM t
 """
 

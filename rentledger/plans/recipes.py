@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentledger.functions import add_days, asc, eq_ci_null_as_empty, number_after
+from rentledger.functions import RATINGS, add_days, asc, eq_ci_null_as_empty, member_of, number_after, within
 from rentledger.operators.aggregates import count_report, eligible
 from rentledger.operators.changes import (
     ChangeResult,
@@ -35,6 +35,10 @@ from rentledger.plans.fleet import LOAD_DATE
 from rentledger.sources.tables import create_as, row_count, sequence_table, table_size, truncate
 
 
+# Years a film can be from. The bounds are a choice of this library.
+FILM_YEARS = (1880, 2200)
+
+
 @dataclass(frozen=True)
 class RecipeResult:
     """Changes by table name, and the rows the task reports."""
@@ -63,11 +67,16 @@ def add_films(
     seed: DataFrame,
     language_name: str = "English",
     as_of: dt.date | None = None,
+    ratings: Sequence[str] = RATINGS,
 ) -> RecipeResult:
     """Insert seed films that are new by title and year, then link every seed film to its category.
 
-    The seed has the film's columns and `category_name`.
+    The seed has the film's columns and `category_name`. A rating that is not
+    listed, or a year that is none, is an error.
     """
+    seed = seed.withColumns(
+        {"release_year": within(F.col("release_year"), *FILM_YEARS), "rating": member_of(F.col("rating"), ratings)}
+    )
     spoken = language.where(F.col("name") == language_name).select("language_id")
     described = with_one_row(seed.drop("category_name"), spoken).withColumn("last_update", _today(as_of))
     films = insert_if_absent(

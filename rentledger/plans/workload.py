@@ -24,12 +24,14 @@ from rentledger.functions import (
     in_range,
     join_text,
     label,
+    member_of,
     number_after,
     on_or_after,
     principal_name,
     size_pretty,
     starred,
     whole_minutes,
+    within,
     years_since,
 )
 from rentledger.operators.aggregates import count_report, eligible, latest_per_key, zero_sum
@@ -87,12 +89,14 @@ from rentledger.plans.reports import (
     top_staff,
 )
 from rentledger.sources.shared import shared_dir
-from rentledger.sources.tables import append, bind, load, row_count, sequence_table, table_size, truncate
+from rentledger.sources.tables import append, bind, load, row_count, rows, sequence_table, table_size, truncate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = dt.date(2002, 1, 1)
 SIZE_LABELS = {"SMALL": "Compact", "MEDIUM": "Regular", "LARGE": "Bulky"}
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 PRINCIPAL = "client_MACHINERY_CUSTOMER_000000001"
 
 _QUERIES: dict[str, Query] = {}
@@ -455,6 +459,14 @@ def first_customers(spark: SparkSession, folder: str) -> DataFrame:
     return first_by(load(spark, folder, "customer"), "c_custkey", 10)
 
 
+@query
+def inline_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items per meaning of their flag; flags without a literal row drop out."""
+    meaning = rows(spark, [("A", "accepted"), ("R", "returned"), ("Z", None)], "l_returnflag STRING, meaning STRING")
+    counts = load(spark, folder, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_lines"))
+    return counts.join(meaning, "l_returnflag").select("meaning", "n_lines")
+
+
 # --- joins --------------------------------------------------------------------
 
 
@@ -596,7 +608,10 @@ def scalar_functions(spark: SparkSession, folder: str) -> DataFrame:
         F.pow(c("c_nationkey"), F.lit(2)).cast("double").alias("squared"),
         ((c("c_custkey") + 7) % 5).alias("remainder"),
         c("c_acctbal").cast("decimal(12,2)").cast("string").alias("as_text"),
-        F.lit(None).cast("string").alias("typed_null"),
+        F.array_join(F.array(c("c_name"), c("c_mktsegment")), "|").alias("array_text"),
+        F.lit(None).cast("string").isNull().alias("typed_null"),
+        member_of(c("c_mktsegment"), SEGMENTS).alias("checked_text"),
+        within(c("c_nationkey"), 0, 24).alias("checked_number"),
     )
 
 
@@ -948,7 +963,14 @@ def add_films_recipe(spark: SparkSession, folder: str) -> DataFrame:
         category_name=F.lit("Brand#2"),
     )
     result = recipes.add_films(
-        film, film_categories(spark, folder), category, language, old.unionByName(new), "ASIA", AS_OF
+        film,
+        film_categories(spark, folder),
+        category,
+        language,
+        old.unionByName(new),
+        "ASIA",
+        AS_OF,
+        ratings=[*PART_TYPES, "PG"],
     )
     added = result.changes["film"].affected.select("film_id", "title", "release_year", "language_id")
     links = result.changes["film_category"].affected

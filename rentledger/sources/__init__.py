@@ -3,6 +3,7 @@
 from rentledger.sources.shared import durable, shared_dir
 from rentledger.sources.tables import (
     append,
+    append_to,
     bind,
     create_as,
     load,
@@ -17,6 +18,7 @@ from rentledger.sources.tables import (
 
 __all__ = [
     "append",
+    "append_to",
     "bind",
     "create_as",
     "durable",

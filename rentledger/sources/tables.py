@@ -43,6 +43,11 @@ def create_as(df: DataFrame, path: str, replace: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def append_to(path: str, df: DataFrame) -> None:
+    """Add the rows to a stored table as new files; the files that are there stay as they are."""
+    df.write.mode("append").parquet(path)
+
+
 def save_all(tables: Mapping[str, DataFrame], folder: str) -> None:
     """Store the new state of several tables in a fresh folder.
 

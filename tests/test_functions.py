@@ -114,3 +114,15 @@ def test_null_sorts_as_the_largest(spark):
     t = spark.createDataFrame([(1,), (None,), (2,)], "x INT")
     assert values(t.orderBy(fn.asc("x"))) == [(1,), (2,), (None,)]
     assert values(t.orderBy(fn.desc("x"))) == [(None,), (2,), (1,)]
+
+
+def test_restricted_types(spark):
+    null = F.lit(None).cast("string")
+    good = one(
+        spark, fn.member_of(F.lit("PG-13"), fn.RATINGS), fn.member_of(null, fn.RATINGS), fn.within(F.lit("1999"), 1900, 2000)
+    )
+    assert good == ("PG-13", None, 1999)
+    with pytest.raises(Exception, match="not a listed value: X"):
+        one(spark, fn.member_of(F.lit("X"), fn.RATINGS))
+    with pytest.raises(Exception, match="out of range: 2001"):
+        one(spark, fn.within(F.lit(2001), 1900, 2000))

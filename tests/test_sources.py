@@ -42,6 +42,13 @@ def test_append(spark):
     assert bag(tb.append(t, added, {"x": 0.5})) == [(1, "a", 1.5), (2, "b", 0.5)]
 
 
+def test_append_to(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tb.create_as(spark.range(2), path)
+    tb.append_to(path, spark.range(5))
+    assert spark.read.parquet(path).count() == 7
+
+
 def test_table_size(spark, tmp_path):
     path = tmp_path / "t"
     tb.create_as(spark.range(0, 100, 1, 3), str(path))
