@@ -41,9 +41,10 @@ def _inserted(
     id_column: str | None,
     id_order: Sequence[str | Column],
     defaults: Mapping[str, object] | None,
+    unique_order: bool = False,
 ) -> ChangeResult:
     if id_column is not None:
-        source = assign_ids(source, table, id_column, id_order)
+        source = assign_ids(source, table, id_column, id_order, unique_order)
     affected = append(table.limit(0), source, defaults)
     return ChangeResult(table.unionByName(affected), affected)
 
@@ -87,15 +88,17 @@ def insert_if_absent(
     id_column: str | None = None,
     id_order: Sequence[str | Column] = (),
     defaults: Mapping[str, object] | None = None,
+    unique_order: bool = False,
 ) -> ChangeResult:
     """Insert source rows that have no match in the table.
 
     Rows that match one another inside the source are all inserted;
-    `distinct=True` drops exact copies first.
+    `distinct=True` drops exact copies first. For the id arguments see `assign_ids`.
     """
     if distinct:
         source = source.distinct()
-    return _inserted(table, new_rows(source, table, on, table_on), id_column, id_order, defaults)
+    fresh = new_rows(source, table, on, table_on)
+    return _inserted(table, fresh, id_column, id_order, defaults, unique_order)
 
 
 def insert_skip_conflicts(
@@ -140,9 +143,12 @@ def insert_chain(
     on: Sequence[Key],
     id_column: str | None = None,
     id_order: Sequence[str | Column] = (),
+    unique_order: bool = False,
 ) -> ChangeResult:
     """Insert child rows built from the rows that were just inserted in the parent."""
-    return insert_if_absent(child, build(parent.affected), on, id_column=id_column, id_order=id_order)
+    return insert_if_absent(
+        child, build(parent.affected), on, id_column=id_column, id_order=id_order, unique_order=unique_order
+    )
 
 
 def update_from(

@@ -23,7 +23,13 @@ def _local_table(starts: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"_shard": pa.array(shards, pa.int64()), "_first": pa.array(first_ids, pa.int64())})
 
 
-def assign_ids(source: DataFrame, table: DataFrame, id_column: str, order: Sequence[str | Column] = ()) -> DataFrame:
+def assign_ids(
+    source: DataFrame,
+    table: DataFrame,
+    id_column: str,
+    order: Sequence[str | Column] = (),
+    unique_order: bool = False,
+) -> DataFrame:
     """Number the rows without gaps, upwards from the largest id of the table.
 
     The rows are written to reliable storage once with their place (partition
@@ -34,7 +40,8 @@ def assign_ids(source: DataFrame, table: DataFrame, id_column: str, order: Seque
     sorted before they are placed. The last sort key is the row's position, so
     that a long run of equal keys, even of exact copies, is cut into several
     partitions. Positions are only repeatable over stored rows, so these are
-    stored before the sort as well.
+    stored before the sort as well. `unique_order=True` says that no two rows
+    have the same sort keys, which makes both unnecessary.
 
     The driver sees one row count per partition and the largest id; the counts
     go back out as a broadcast of one row per partition.
@@ -42,13 +49,10 @@ def assign_ids(source: DataFrame, table: DataFrame, id_column: str, order: Seque
     rows = source
     if order:
         keys = [asc(k) if isinstance(k, str) else k for k in order]
-        rows = (
-            durable(source)
-            .withColumn("_tie", F.monotonically_increasing_id())
-            .repartitionByRange(*keys, "_tie")
-            .sortWithinPartitions(*keys, "_tie")
-            .drop("_tie")
-        )
+        if not unique_order:
+            rows = durable(source).withColumn("_tie", F.monotonically_increasing_id())
+            keys.append(F.col("_tie"))
+        rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
     placed = durable(rows.withColumn("_place", F.monotonically_increasing_id())).withColumn(
         "_shard", F.shiftright("_place", _POSITION_BITS)
     )

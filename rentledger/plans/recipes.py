@@ -117,6 +117,7 @@ def add_actors(
         distinct=True,
         id_column="actor_id",
         id_order=["last_name", "first_name"],
+        unique_order=True,
     )
     cast = seed.select(
         "movie_title", F.upper("first_name").alias("_first"), F.upper("last_name").alias("_last")
@@ -156,6 +157,7 @@ def stock_first_store(
         on=["film_id", "store_id"],
         id_column="inventory_id",
         id_order=["film_id"],
+        unique_order=True,
     )
     held = copies.table.join(_titles_of(film, seed).select("film_id", "title"), "film_id")
     report = order(
@@ -290,7 +292,13 @@ def rent_and_pay(
         )
 
     payments = insert_chain(
-        rentals, payment, bills, on=["rental_id", "customer_id"], id_column="payment_id", id_order=["rental_id"]
+        rentals,
+        payment,
+        bills,
+        on=["rental_id", "customer_id"],
+        id_column="payment_id",
+        id_order=["rental_id"],
+        unique_order=True,
     )
     pairs = (
         rentals.affected.select("rental_id", "rental_date", "inventory_id")

@@ -668,7 +668,13 @@ def insert_absent_ci(spark: SparkSession, folder: str) -> DataFrame:
     added = bind(load(spark, folder, "supplier"), c_name="s_name")
     source = recased.unionByName(added).unionByName(added)
     result = insert_if_absent(
-        target, source, [F.upper("c_name")], distinct=True, id_column="c_custkey", id_order=["c_name"]
+        target,
+        source,
+        [F.upper("c_name")],
+        distinct=True,
+        id_column="c_custkey",
+        id_order=["c_name"],
+        unique_order=True,
     )
     return result.affected
 
@@ -743,7 +749,7 @@ def insert_chain_pairs(spark: SparkSession, folder: str) -> DataFrame:
     def bills(inserted: DataFrame) -> DataFrame:
         return bind(inserted, order_id="o_orderkey", customer_id="o_custkey", paid_at="o_orderdate")
 
-    return insert_chain(parent, paid, bills, ["order_id", "customer_id"], "payment_id", ["order_id"]).affected
+    return insert_chain(parent, paid, bills, ["order_id", "customer_id"], "payment_id", ["order_id"], True).affected
 
 
 @query

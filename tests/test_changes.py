@@ -140,10 +140,11 @@ def test_pick_target(spark, table):
     assert values(ch.pick_target(table, "id", miss, fallback.limit(0))) == [(None,)]
 
 
-def test_ids_follow_the_order_over_many_partitions(spark):
+@pytest.mark.parametrize("unique_order", [False, True])
+def test_ids_follow_the_order_over_many_partitions(spark, unique_order):
     table = spark.createDataFrame([(100,)], "id BIGINT")
     source = spark.range(0, 5000, 1, 7).select(((F.col("id") * 7919) % 5000).alias("n"))
-    got = assign_ids(source.repartition(7), table, "id", ["n"])
+    got = assign_ids(source.repartition(7), table, "id", ["n"], unique_order)
     assert values(got.orderBy("id")) == [(101 + i, i) for i in range(5000)]
 
 
@@ -163,3 +164,14 @@ def test_ids_of_exact_copies_spread_over_partitions(spark, conf):
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 40000 and max(sizes) < 20000
     assert got.agg(F.count_distinct("id")).first()[0] == 40000
+
+
+def test_repeats_of_a_hot_key_are_combined_before_the_shuffle(spark, table):
+    hot = spark.range(0, 30000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        (F.col("id") + 1).cast("int").alias("v"),
+    )
+    result = ch.insert_skip_conflicts(table, hot, ["k"], ["v"])
+    assert values(result.affected.where("k = 'hot'").select("v")) == [(1,)]
+    assert result.affected.count() == 20001
+    assert "partial_min_by" in result.affected._jdf.queryExecution().executedPlan().toString()
