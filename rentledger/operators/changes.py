@@ -177,14 +177,15 @@ def update_from(
 
 def update_where(table: DataFrame, condition: Column, values: Mapping[str, Column]) -> ChangeResult:
     """Set columns in the rows that meet the condition; an unknown condition changes nothing."""
-    return _set(table, table, F.coalesce(condition, F.lit(False)), values)
+    return _set(table, table, condition, values)
 
 
 def _set(joined: DataFrame, table: DataFrame, hit: Column, values: Mapping[str, Column]) -> ChangeResult:
+    """`hit` is worked out once per row for all columns, and stays a plain filter for the affected rows."""
     types = {f.name: f.dataType for f in table.schema.fields}
     cast = {c: v.cast(types[c]) for c, v in values.items()}
-    changed = joined.select(
-        *(F.when(hit, cast[c]).otherwise(F.col(c)).alias(c) if c in cast else F.col(c) for c in table.columns)
+    changed = joined.withColumn("_hit", hit).select(
+        *(F.when(F.col("_hit"), cast[c]).otherwise(F.col(c)).alias(c) if c in cast else F.col(c) for c in table.columns)
     )
     affected = joined.where(hit).select(*(cast[c].alias(c) if c in cast else F.col(c) for c in table.columns))
     return ChangeResult(changed, affected)
@@ -210,8 +211,7 @@ def evolve(table: DataFrame, column: str, data_type: str, value: Column | object
 
 def delete_where(table: DataFrame, condition: Column) -> ChangeResult:
     """Drop the rows that meet the condition; an unknown condition keeps the row."""
-    gone = F.coalesce(condition, F.lit(False))
-    return ChangeResult(table.where(~gone), table.where(gone))
+    return ChangeResult(table.where(~F.coalesce(condition, F.lit(False))), table.where(condition))
 
 
 def delete_using(
