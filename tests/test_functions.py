@@ -126,3 +126,10 @@ def test_restricted_types(spark):
         one(spark, fn.member_of(F.lit("X"), fn.RATINGS))
     with pytest.raises(Exception, match="out of range: 2001"):
         one(spark, fn.within(F.lit(2001), 1900, 2000))
+
+
+def test_today_is_the_default(spark):
+    assert one(spark, fn.years_since(None, F.year(F.current_date())), fn.years_since(None, F.lit(None).cast("int"))) == (
+        0,
+        None,
+    )

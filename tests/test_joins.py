@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rentledger.operators import joins
+from rentledger.operators.changes import update_from
 from tests.fixtures import bag, values
 
 L = "k INT, v STRING"
@@ -114,8 +115,9 @@ def hot(spark):
     return spark.range(0, 600000, 1, 8).select(key.alias("k"), (key * 2).alias("v"))
 
 
-@pytest.mark.parametrize("how", ["semi", "anti"])
-def test_hot_key_is_split_at_run_time(spark, conf, how):
+@pytest.fixture
+def large_tables(conf):
+    """Settings under which these tables are as awkward as large ones on a cluster."""
     conf(
         autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="-1",
@@ -124,11 +126,30 @@ def test_hot_key_is_split_at_run_time(spark, conf, how):
         adaptive__skewJoin__skewedPartitionFactor="2",
         shuffle__partitions="16",
     )
+
+
+def is_split(df):
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["semi", "anti"])
+def test_hot_key_is_split_at_run_time(spark, large_tables, how):
     keys = spark.range(0, 2000, 1, 4).select((F.col("id") % 1000).alias("k"))
     join = joins.semi_join if how == "semi" else joins.anti_join
     found = join(hot(spark), keys, ["k"])
     rows = len(found.collect())
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "skew=true" in plan
+    assert is_split(found)
     expected = sum(1 for i in range(600000) if ((7 if i % 3 == 0 else i % 5000) < 1000) == (how == "semi"))
     assert rows == expected
+
+
+def test_hot_key_is_split_in_updates_and_lookups(spark, large_tables):
+    moves = spark.range(0, 3000, 1, 4).select((F.col("id") % 1000).alias("k"), F.col("id").alias("new"))
+    changed = update_from(hot(spark), moves, ["k"], {"v": "new"}).table
+    dimension = spark.range(0, 1000, 1, 4).select(F.col("id").alias("key"), (F.col("id") + 1).alias("next"))
+    looked_up = joins.resolve_keys(hot(spark), dimension, {"k": "key"}, {"next": "next"}, how="left")
+    for found in (changed, looked_up):
+        rows = found.collect()
+        assert len(rows) == 600000
+        assert is_split(found)
+    assert {r.next for r in rows if r.k == 7} == {8}
