@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +28,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write the rows once to reliable storage, so that reuse and lost executors see the same rows."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write the rows once to the shared folder and go on from there.
+
+    Reuse and lost executors then see the same rows. As a stored table they can
+    be read in single columns, and their size is known when joins are planned.
+    """
+    path = f"{shared_dir(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
