@@ -11,15 +11,15 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by `spark.checkpoint.dir`.
+    """Folder named by `spark.checkpoint.dir`, or set on the context.
 
     Only a local session without that setting gets a temporary folder of its
     own; on a cluster a machine-local folder would be lost with its machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _LOCAL_FOLDERS:

@@ -87,6 +87,9 @@ class Conf:
 class Cluster:
     master = "yarn"
 
+    def getCheckpointDir(self):
+        return None
+
 
 class Session:
     def __init__(self, value=None):
