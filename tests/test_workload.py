@@ -1,4 +1,4 @@
-"""Every registered query: results against SQL, and the shape of its plan."""
+"""Every query of the workload: results against SQL, and the shape of its plan."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ import os
 import pytest
 
 import __spark_entry__ as registered
+from rentledger.plans import workload
+from rentledger.plans.oracles import ORACLES
 from tests.oracle_check import differences, oracle_connection
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -22,12 +24,12 @@ def oracle():
     return oracle_connection(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(workload.queries()))
 def test_query(spark, oracle, name):
-    frame = registered.queries()[name](spark, FOLDER)
+    frame = workload.queries()[name](spark, FOLDER)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert not [operator for operator in FORBIDDEN if operator in plan]
-    sql = registered.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert frame.count() > 0
     else:
@@ -40,4 +42,5 @@ def test_entry(spark):
 
 
 def test_only_disk_sizes_have_no_sql():
-    assert set(registered.queries()) - set(registered.oracle_sql()) == {"stored_table_size"}
+    assert set(workload.queries()) - set(ORACLES) == {"stored_table_size"}
+    assert set(workload.queries()) <= set(registered.queries()) and set(ORACLES) <= set(registered.oracle_sql())
