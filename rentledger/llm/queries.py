@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentledger.llm import langid
 from rentledger.llm.common import table
 from rentledger.llm.mixing import mix
 from rentledger.llm.sharding import shard_documents
 from rentledger.llm.simhash import near_duplicates
+from rentledger.llm.vptree import nearest
+from rentledger.llm.warc import archive_folder, read_archive, write_archive
 
 #: Target weights: four tiers of sources; a source that is not named shares the weight of the rest.
 MIXTURE = {f"src{i}": i % 4 + 1 for i in range(20)}
@@ -33,8 +36,23 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op9_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = archive_folder(spark)
+    index = write_archive(table(spark, sf_dir, "pages"), folder)
+    return read_archive(spark, folder, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op3_mixing, op5_simhash)}
+    return {f.__name__: f for f in (op1_sharding, op3_mixing, op5_simhash, op8_langid, op9_vptree, op10_warc)}
 
 
 def oracles() -> dict[str, str]:
