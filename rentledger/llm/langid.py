@@ -1,6 +1,6 @@
 """Language identification by nearest centroid.
 
-A text is the vector of its hashed character 3-grams and whole short words, weighted by
+A text is the vector of its hashed 3-grams of the UTF-8 bytes of its lower-cased words, weighted by
 1 + ln(count) times the inverse document frequency, and normalised. Every language
 has a few centroids, made by spherical k-means over its sampled vectors; a text gets the
 language of the centroid with the largest cosine. It is rejected where that cosine is under the
@@ -27,7 +27,6 @@ SAMPLE = 1_000  # training vectors of each language, chosen by a hash of the id
 LANGUAGES = 200  # the commonest that are learned
 FLOOR = 0.005  # quantile of training cosines under which a text is rejected
 PIECE = 1 << 18  # bytes hashed at a time
-LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -67,7 +66,7 @@ class Model:
         The score is the largest cosine's share of the best cosines of all languages.
         A text without letters is `und` with score 0 and rejected; so is every text where no language was learned.
         """
-        if not text or not LETTER.search(text) or not self.languages:
+        if not text or not any(map(str.isalpha, text)) or not self.languages:
             return UNKNOWN, 0.0, True
         at, values = vector(counts(text), self.idf)
         near = self.centroids[:, at] @ values

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentledger.llm import langid
+from rentledger.llm import decontamination, langid, toxicity
 from rentledger.llm.common import table
 from rentledger.llm.mixing import mix
 from rentledger.llm.sharding import shard_documents
@@ -26,11 +26,20 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mix(docs, MIXTURE, REST).select("doc_id", "source", "stream", "block", "place", "slot")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -52,7 +61,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op3_mixing, op5_simhash, op8_langid, op9_vptree, op10_warc)}
+    return {f.__name__: f for f in (op1_sharding, op2_decontamination, op3_mixing, op4_toxicity, op5_simhash, op8_langid, op9_vptree, op10_warc)}
 
 
 def oracles() -> dict[str, str]:
