@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentledger.llm import decontamination, langid, toxicity
+from rentledger.llm import decontamination, langid, licenses, tokens, toxicity
 from rentledger.llm.common import table
 from rentledger.llm.mixing import mix
 from rentledger.llm.sharding import shard_documents
@@ -45,6 +45,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_spans(table(spark, sf_dir, "documents"))
+
+
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.read_vocabulary(spark))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs))
@@ -61,7 +69,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_decontamination, op3_mixing, op4_toxicity, op5_simhash, op8_langid, op9_vptree, op10_warc)}
+    found = (
+        op1_sharding, op2_decontamination, op3_mixing, op4_toxicity, op5_simhash,
+        op6_licenses, op7_tokens, op8_langid, op9_vptree, op10_warc,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
