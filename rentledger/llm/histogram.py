@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from rentledger.llm.common import constant
 
 FIRST_BITS, NEXT_BITS = 16, 8
+ROWS_PER_RANGE, BYTES_PER_RANGE = 500_000, 1 << 27
+MOST_RANGES = 1 << (FIRST_BITS - 1)  # beyond it ranges grow, and sorts within them spill
 HALF, END = 1 << 63, 1 << 128
 
 
@@ -162,6 +164,11 @@ class Ranges:
         return start + F.when(many > 0, F.size(passed)).otherwise(0)
 
 
+def parts(rows: int, size: int, least: int) -> int:
+    """Ranges to make of so many rows and bytes, so that a task that sorts one has little to do."""
+    return max(least, min(MOST_RANGES, max(-(-rows // ROWS_PER_RANGE), -(-size // BYTES_PER_RANGE))))
+
+
 def ranges(found: list[Boundary]) -> Ranges:
     inner = {b.position: b for b in found if 0 < b.position < END}
     return Ranges([Boundary(0, 0, 0), *sorted(inner.values())])

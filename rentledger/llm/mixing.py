@@ -22,11 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentledger.llm.common import constant, text_bytes
-from rentledger.llm.histogram import Goal, boundaries, ranges
+from rentledger.llm.histogram import Goal, boundaries, parts, ranges
 from rentledger.sources.shared import durable
 
 BLOCK_BYTES = 65_536
-ROWS_PER_RANGE = 500_000
 MAX_STREAMS, MAX_PERIOD = 255, 100_000
 STREAM_BITS = 8
 
@@ -92,7 +91,6 @@ def mix(
     weights: Mapping[str, int],
     other: int = 1,
     block_bytes: int = BLOCK_BYTES,
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Every row of `docs` with `stream`, `block`, `place` and `slot`; sort by `slot`, `place` for the mixture.
 
@@ -103,7 +101,7 @@ def mix(
 
     Within a stream rows are ordered by a hash of id and text. Ranges of that order
     are counted exactly as in the histogram sort, so running sums are made over
-    ranges of about `rows_per_range` rows and never over a source. Rows
+    ranges of bounded size and never over a source. Rows
     that are equal in id and text have one hash; what follows keeps them together.
     Null texts have size 1, an empty table gives no rows. Columns of `docs` with one of the four names are replaced.
     """
@@ -128,8 +126,8 @@ def mix(
     for s in own:
         before.append(dict(n))
         n = {m: v + (totals[s][m] if s in totals else 0) for m, v in n.items()}
-    parts = max(64, -(-n["rows"] // rows_per_range))
-    split = ranges(boundaries(rows, [Goal("rows", n["rows"] * i // parts, n["rows"] // (2 * parts)) for i in range(1, parts)]))
+    many = parts(n["rows"], n["bytes"], 64)
+    split = ranges(boundaries(rows, [Goal("rows", n["rows"] * i // many, n["rows"] // (2 * many)) for i in range(1, many)]))
     plan = phases(own, {s: -(-r.bytes // block_bytes) for s, r in totals.items()})
 
     start = F.element_at(constant([{"b": b.bytes, "r": b.rows} for b in split.starts], "struct<b:bigint,r:bigint>"), F.col("__range") + 1)

@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentledger.llm.common import text_bytes
-from rentledger.llm.histogram import Goal, boundaries, ranges, spread
+from rentledger.llm.histogram import Goal, boundaries, parts, ranges, spread
 from rentledger.sources.shared import durable
 
 SHARDS = 16
 TOLERANCE = 1e-4  # of a shard's bytes
-ROWS_PER_RANGE = 500_000
 
 
 def histogram_sort(
@@ -20,7 +19,6 @@ def histogram_sort(
     size: Column,
     shards: int = SHARDS,
     tolerance: float = TOLERANCE,
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """All rows and columns of `df`, with `shard` and `slot`.
 
@@ -31,7 +29,7 @@ def histogram_sort(
     run of equal ones may be as large as a shard.
 
     First only the two longs and the size are stored and counted. Then the rows are
-    exchanged once, by ranges of about `rows_per_range` rows: the counts give the
+    exchanged once, by ranges of bounded size (see `parts`): the counts give the
     slot at which each range begins, so no task sees a whole shard.
 
     Null order values come first, a null size counts 0, an empty table gives no rows;
@@ -47,9 +45,9 @@ def histogram_sort(
     rows = raw.select(*(spread(F.col(n), *limits[n]).alias(n) for n in ("key", "tie")), F.coalesce("size", F.lit(0)).alias("size"))
 
     total = rows.agg(F.sum("size")).first()[0] or 0
-    parts = max(4 * shards, -(-low["n"] // rows_per_range))
+    many = parts(low["n"], total, 4 * shards)
     cuts = [Goal("bytes", total * i // shards, int(tolerance * total / shards)) for i in range(1, shards)]
-    steps = [Goal("rows", low["n"] * i // parts, low["n"] // (2 * parts)) for i in range(1, parts)]
+    steps = [Goal("rows", low["n"] * i // many, low["n"] // (2 * many)) for i in range(1, many)]
     found = boundaries(rows, cuts + steps)
     firsts = [0]  # rows below the first of each shard
     positions = [0]

@@ -1,0 +1,372 @@
+"""SimHash, decontamination, toxicity, licenses, tokens, languages: against plain versions, and edge rows."""
+
+from __future__ import annotations
+
+import itertools
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from rentledger.llm import decontamination as dec
+from rentledger.llm import langid, licenses, simhash, tokens, toxicity
+from rentledger.llm.components import components
+
+EDGES = [(None, None), (None, "no id"), (901, None), (902, ""), (903, " \t\n "), (904, "12 ?! 34"), (905, "word " * 30_000), (905, "again"), (905, "again")]
+
+
+def frame(spark, rows):
+    """Documents with columns whose names clash with results."""
+    shape = "doc_id long, text string, lang string, source string, n_chars long, score string, held_out int, component_id string"
+    return spark.createDataFrame([(i, t, lang, "s", 0, "old", 3, "old") for i, t, lang in rows], shape)
+
+
+def plain(spark, rows):
+    return frame(spark, [(i, t, "en") for i, t in rows])
+
+
+# --- SimHash
+
+
+def naive_print(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x20\x09-\x0d]+", low)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+
+@pytest.mark.parametrize("text", [None, "", "  ", "one", "one two", "A b\x0bC d É é", "a b a b a b a b", "x y z " * 50])
+def test_fingerprint(text):
+    assert simhash.fingerprint(None if text is None else text.encode()) % (1 << 64) == naive_print(text)
+
+
+def test_fingerprints_of_long_texts_are_whole(monkeypatch):
+    text = " ".join(str(random.Random(1).randrange(10**6)) + str(i % 7) for i in range(500))
+    expected = simhash.fingerprint(text.encode())
+    monkeypatch.setattr(simhash, "CHUNK", 7)
+    assert simhash.fingerprint(text.encode()) == expected
+
+
+def test_masks_cover_every_pair_within_the_radius():
+    own = [m % (1 << 64) for m in simhash.masks()]
+    assert len(own) == 7
+    for a, b in itertools.combinations(range(64), 2):
+        assert any(not m & (1 << a | 1 << b) for m in own)
+
+
+def brute_classes(prints):
+    parent = list(range(len(prints)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(prints)), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= 2:
+            parent[find(a)] = find(b)
+    return [find(i) for i in range(len(prints))]
+
+
+def test_links_connect_what_brute_force_connects(spark):
+    rng = random.Random(2)
+    prints = {rng.getrandbits(64) for _ in range(150)}
+    for _ in range(3):  # chains, pairs and crowds around some centres
+        centre = rng.getrandbits(64)
+        prints |= {centre ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for _ in range(60)}
+    for _ in range(20):
+        one = rng.getrandbits(64)
+        prints |= {one, one ^ 0b11 << rng.randrange(62)}
+    prints = sorted(prints)
+    signed = [simhash.SIGNED(p) for p in prints]
+    edges = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long"))
+    for r in edges.distinct().collect():
+        assert ((r.u ^ r.v) % (1 << 64)).bit_count() <= 2
+    found = {r.node: r.component for r in components(edges).collect()}
+    expected = brute_classes(prints)
+    groups = {}
+    for p, root in zip(signed, expected):
+        groups.setdefault(root, []).append(p)
+    for own in groups.values():
+        assert {found.get(p, p) for p in own} == {min(own)}
+
+
+def test_components_of_a_long_chain_a_star_and_loops(spark):
+    edges = [(i, i + 1) for i in range(0, 200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5000), (7, 6), (6, 7)]
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert found == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1300)}}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_near_duplicates_and_their_removal(spark):
+    long = " ".join(f"w{i}" for i in range(4000))
+    rows = [*EDGES, (1, "Same text here now"), (2, "same TEXT here now"), (3, "other words than those"), (10, long), (11, long + " end"), (None, "no id")]
+    docs = plain(spark, rows)
+    found = {(r.doc_id, r.fp): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert simhash.near_duplicates(docs).count() == len(rows)
+    own = {i: simhash.fingerprint(None if t is None else t.encode()) for i, t in rows if i and i < 100}
+    assert found[1, own[1]] == found[2, own[2]] == 1 and found[3, own[3]] == 3 and found[11, own[11]] == 10
+    assert found[901, 0] == found[902, 0] == found[903, 0] == 901
+    assert all(c is None for (i, _), c in found.items() if i is None)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    left = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert left[None, "no id"] == 2 and left[None, None] == 1
+    assert (2, "same TEXT here now") not in left and (902, "") not in left and left[901, None] == 1
+    assert left[905, "again"] == 1 and left[905, "word " * 30_000] == 1
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.one_of_each(docs.limit(0)).count() == 0
+
+
+# --- decontamination
+
+ITEMS = [(i, " ".join(f"q{i}x{j}" for j in range(n))) for i, n in enumerate((6, 20, 50, 130, 400))]
+
+
+def noise(rng, n):
+    return " ".join(rng.choice(["the", "of", "and", "in"]) + f" n{rng.randrange(10**6)}" for _ in range(n // 2))
+
+
+def test_wand_finds_what_a_full_scan_finds():
+    rng = random.Random(5)
+    vocabulary = [f"t{i}" for i in range(60)]
+    index = dec.Index.build([(i, " ".join(rng.choices(vocabulary, k=rng.randrange(3, 120)))) for i in range(300)])
+    found = 0
+    for _ in range(200):
+        query = set(rng.sample(range(len(index.terms)), rng.randrange(1, 40)))
+        scores = np.zeros(len(index.owner))
+        for t in query:
+            own = slice(index.at[t], index.at[t + 1])
+            scores[index.segment[own]] += index.part[own]
+        for threshold in (0.31, 0.5, 0.8):
+            expected = np.flatnonzero(scores >= threshold).tolist()
+            found += len(expected)
+            assert [s for s, _ in index.retrieve(query, threshold)] == expected
+    assert found > 500
+
+
+def test_every_passage_over_the_threshold_is_a_candidate():
+    rng = random.Random(6)
+    vocabulary = [f"t{i}" for i in range(400)]
+    index = dec.Index.build([(i, " ".join(rng.choices(vocabulary, k=30))) for i in range(100)])
+    numbers = np.array([index.terms.get(rng.choice(vocabulary), -1) if rng.random() < 0.9 else -1 for _ in range(3000)])
+    found = {(lo, item, round(score, 9)) for lo, _, item, score in index.candidates(numbers, 0.31)}
+    expected = {
+        (lo, index.owner[s], round(score, 9))
+        for lo in range(0, len(numbers), dec.PASSAGE // 2)
+        for s, score in index.retrieve(set(numbers[lo : lo + dec.PASSAGE].tolist()) - {-1}, 0.31)
+    }
+    assert found == expected and len(found) > 5
+
+
+def test_items_of_every_length_are_found_wherever_they_stand(spark):
+    rng = random.Random(7)
+    rows = [(i * 10 + j, f"{noise(rng, lead)}, {t.upper()}! {noise(rng, 90)}") for i, t in ITEMS for j, lead in enumerate((0, 40, 61, 300))]
+    clean = [(500 + i, noise(rng, 300)) for i in range(20)]
+    question_only = [(600, " ".join(ITEMS[2][1].split()[:36]) + " " + noise(rng, 50))]
+    bench = spark.createDataFrame([*ITEMS, (77, ITEMS[1][1]), (78, None), (79, ""), (None, "x y z")], "item_id long, text string")
+    docs = plain(spark, rows + clean + question_only + EDGES)
+    found = {(r.doc_id, r.item_id) for r in dec.contaminations(docs, bench).collect()}
+    expected = {(i * 10 + j, i) for i, _ in ITEMS for j in range(4)}
+    assert found == expected | {(10 + j, 77) for j in range(4)}
+    kept = dec.decontaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(clean + question_only + EDGES)
+    assert dec.contaminations(docs, bench.limit(0)).count() == 0 and dec.contaminations(docs.limit(0), bench).count() == 0
+    assert {(r.doc_id, r.item_id) for r in dec.contaminations(docs, bench, 0.9).collect()} <= found
+
+
+def test_item_shards_give_the_same_hits(spark, monkeypatch):
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = plain(spark, [(i, t) for i, t in ITEMS])
+    whole = set(map(tuple, dec.contaminations(docs, bench).select("doc_id", "item_id").collect()))
+    monkeypatch.setattr(dec._shards, "__defaults__", (2,))
+    assert set(map(tuple, dec.contaminations(docs, bench).select("doc_id", "item_id").collect())) == whole == {(i, i) for i, _ in ITEMS}
+
+
+# --- toxicity
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """English insults, and invented stems in a second language."""
+    rng = random.Random(8)
+    rows, marks = [], []
+    for i in range(1500):
+        toxic = rng.random() < 0.15
+        words = [rng.choice("abcdefgh") * 2 + rng.choice("xyz") + str() + rng.choice("klmnop") * 3 for _ in range(60)]
+        if toxic:
+            words[rng.randrange(60)] = rng.choice(["idiot", "moron"]) if i % 2 else "gurza" + rng.choice(["n", "rt", "lle"])
+        rows.append((i, " ".join(words), "en"))
+        marks.append((i, 1, int(toxic), "x"))
+    marks += [(None, 1, 1, "x"), (3, None, None, "x"), (99_999, 0, 1, "x")]
+    return frame(spark, rows).cache(), spark.createDataFrame(marks, "doc_id long, quality int, toxic int, text string").cache()
+
+
+def test_held_out_toxicity(spark, labelled):
+    docs, labels = labelled
+    model = toxicity.train(docs, labels)
+    truth = {r.doc_id: r.toxic for r in labels.where("toxic is not null").collect()}
+    scored = toxicity.score_documents(docs, model).collect()
+    held = [r for r in scored if r.held_out]
+    assert 200 < len(held) < 400
+    assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.98
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in scored)
+    edges = plain(spark, EDGES)
+    assert toxicity.score_documents(edges, model).where("score is null or predicted = 1").count() == 0
+    assert toxicity.score_documents(edges, model).count() == len(EDGES)
+    kept = toxicity.without_toxic(docs.unionByName(edges), model)
+    assert kept.columns == docs.columns
+    assert kept.count() == len(EDGES) + sum(r.predicted == 0 for r in scored)
+
+
+def test_the_held_out_fold_teaches_nothing(labelled):
+    docs, labels = labelled
+    some = toxicity.train(docs, labels.where("crc32(cast(doc_id as string)) % 5 != 0"))
+    whole = toxicity.train(docs, labels)
+    assert whole.terms == some.terms and np.allclose(whole.weights, some.weights)
+
+
+def test_the_sample_is_bounded(labelled):
+    docs, labels = labelled
+    assert len(toxicity.train(docs, labels, sample=300).terms) > 0
+
+
+def test_without_labels_the_word_list_decides(spark, labelled):
+    docs, labels = labelled
+    model = toxicity.train(docs, labels.limit(0))
+    assert model.score("you idiot") > 0.5 > model.score("hello") and model.score(None) < 0.5
+    assert toxicity.score_documents(docs.limit(0), model).count() == 0
+
+
+def test_the_label_model_learns_accuracies_and_dependencies():
+    rng = np.random.default_rng(9)
+    y = rng.random(5000) < 0.2
+    cast = lambda accuracy: np.where(rng.random(5000) < accuracy, y, ~y).astype(int)
+    good, bad = cast(0.95), cast(0.7)
+    model = toxicity.LabelModel(np.column_stack([good, bad, bad, cast(0.9)]), 0.2)
+    posterior = model.fit()
+    assert model.parents.count(-1) == 3 and (model.parents[1] == 2 or model.parents[2] == 1)  # the repeated voter hangs on its copy
+    assert ((posterior > 0.5) == y).mean() > 0.95
+
+
+# --- licenses
+
+
+def test_license_spans(spark):
+    mit = licenses.TEMPLATES["MIT-text"]
+    edited = mit.replace("associated", "related").replace("free of charge, ", "")
+    rows = [
+        (1, f"intro words. {mit}. more"),
+        (2, f"intro\n{edited} more"),
+        (3, "we released under the mit license; also LICENSED under the Apache License, version 2.0."),
+        (4, "the license of the work is under review"),
+        (5, "This work is licensed under the GNU General Public License, version 3"),
+        (6, "filler " * 50_000 + "Licensed under CC BY-NC 4.0"),
+    ]
+    found = licenses.license_spans(plain(spark, rows + EDGES)).collect()
+    texts = dict(rows)
+    assert Counter((r.doc_id, r.license) for r in found) == Counter([(1, "MIT-text"), (2, "MIT-text"), (3, "MIT"), (3, "Apache-2.0"), (5, "GPL-3.0"), (6, "CC-BY-NC-4.0")])
+    for r in found:
+        assert texts[r.doc_id][r.start_char : r.end_char] == r.matched and (r.coverage == 1.0) == (r.doc_id != 2)
+        assert len(licenses.WORD.findall(texts[r.doc_id][: r.start_char])) == r.start_word
+    assert licenses.license_spans(plain(spark, EDGES).limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        licenses.license_spans(plain(spark, EDGES), {"x": "too short"})
+
+
+def test_winnowing_shares_a_run_with_any_long_common_passage():
+    rng = np.random.default_rng(10)
+    size = licenses.GRAM + licenses.WINDOW - 1
+    for _ in range(300):
+        common = rng.integers(0, 50, size).astype(np.uint64)
+        sides = [np.concatenate([rng.integers(100 * s, 100 * s + 50, rng.integers(0, 9)).astype(np.uint64), common, rng.integers(0, 50, 5).astype(np.uint64)]) for s in (1, 2)]
+        kept = [set(licenses._grams(s)[licenses.winnow(s)].tolist()) for s in sides]
+        assert kept[0] & kept[1]
+
+
+def test_alignment_is_the_longest_common_subsequence_in_the_band():
+    rng = random.Random(11)
+    for _ in range(200):
+        a, b = ([rng.choice("abc") for _ in range(rng.randrange(1, 9))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
+        assert licenses.align(a, b, 0, band=20)[0] == table[-1][-1]
+
+
+# --- tokens
+
+
+def greedy(word, pieces):
+    count = at = 0
+    while at < len(word):
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
+        if end is None:
+            return 1
+        count, at = count + 1, end
+    return count
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_automaton_counts_like_greedy_matching(seed):
+    rng = random.Random(seed)
+    pieces = {bytes(rng.choices(b"abc", k=rng.randrange(1, 6))) for _ in range(12)} | ({b"a", b"b", b"c"} if seed % 2 else set())
+    automaton = tokens.Automaton.build(pieces)
+    for n in range(0, 8):
+        for word in map(bytes, itertools.product(b"abc", repeat=n)):
+            assert automaton.count(word) == greedy(word, pieces), word
+
+
+def test_token_counts(spark):
+    pieces = [b" ", b" w", b"word", b"or", *(bytes([i]) for i in range(256))]
+    docs = plain(spark, [*EDGES, (1, "word Ünder x  or"), (1, "word Ünder x  or")])
+    expected = Counter((i, len(w := (t or "").encode().split()), sum(greedy(b" " + x, set(pieces)) for x in w)) for i, t in [(r.doc_id, r.text) for r in docs.collect()])
+    assert Counter(map(tuple, tokens.token_counts(docs, pieces).collect())) == expected
+    assert tokens.token_counts(docs.limit(0), pieces).count() == 0
+
+
+# --- languages
+
+
+@pytest.fixture(scope="module")
+def spoken(spark):
+    rng = random.Random(12)
+    parts = {"aa": ["the", "ing", "ouse", "wh", "ter"], "bb": ["sch", "ung", "lich", "ver", "ein"], "cc": ["ción", "ado", "que", "los", "ñez"]}
+    rows = [(i, " ".join("".join(rng.choices(parts[l], k=3)) for _ in range(rng.randrange(3, 80))), l) for i in range(900) for l in [rng.choice(list(parts))]]
+    return frame(spark, rows + [(2000, "ingthe", None), (None, "schung", "bb")]).cache()
+
+
+def test_held_out_languages(spark, spoken):
+    model = langid.train(spoken, sample=100)
+    truth = {r.doc_id: r.lang for r in spoken.collect()}
+    found = langid.identify(spoken, model).collect()
+    held = [r for r in found if r.held_out]
+    assert len(held) > 100 and sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.98
+    edges = {(r.doc_id, r.lang_pred) for r in langid.identify(plain(spark, EDGES), model).collect()}
+    assert {(901, "und"), (902, "und"), (903, "und"), (904, "und")} <= edges
+    assert all(0 <= r.score <= 1 for r in found) and {r.lang_pred for r in found} == {"aa", "bb", "cc"}
+    assert model.predict("ж" * 400)[2] and not model.predict(spoken.first().text)[2]
+
+
+def test_languages_learn_outside_the_held_out_fold_only(spoken):
+    whole, some = langid.train(spoken), langid.train(spoken.where("crc32(cast(doc_id as string)) % 5 != 0"))
+    assert np.allclose(whole.centroids, some.centroids) and np.allclose(whole.idf, some.idf)
+
+
+def test_without_rows_no_language_is_learned(spark, spoken):
+    model = langid.train(spoken.limit(0))
+    assert [r.lang_pred for r in langid.identify(plain(spark, [(1, "text")]), model).collect()] == ["und"]
+    assert langid.identify(spoken.limit(0), model).count() == 0
+
+
+def test_counts_do_not_depend_on_the_piece_size(monkeypatch):
+    text = "Some words, and ünlike ones " * 30
+    expected = langid.counts(text)
+    monkeypatch.setattr(langid, "PIECE", 10)
+    assert (langid.counts(text) == expected).all()
