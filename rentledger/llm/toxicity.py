@@ -38,6 +38,7 @@ STEMS = (3, 4, 5, 6)  # letters of the stems that are mined
 SUPPORT, SHARE, LIFT = 5, 0.02, 20.0  # toxic texts a term must be in, their share, and how many times commoner it must be there
 LEXICONS = 4  # voters that the mined words, and as many that the stems, are dealt into
 ROUNDS, DEPENDENT = 50, 0.01  # of EM; conditional mutual information from which voters depend on each other
+GIVEN = 0.95  # accuracy that people's labels are taken to have beforehand
 TOXIC, CLEAN, ABSTAIN = 1, 0, 2
 WORD = re.compile(r"[^\W\d_]+")
 # Common insults in English.
@@ -118,6 +119,10 @@ class LabelModel:
         table = np.full((2, 3, 3), 0.1)
         for label, share in ((1, self.posterior), (0, 1 - self.posterior)):
             np.add.at(table[label], (above, self.patterns[:, voter]), share * self.counts)
+            if voter == len(self.parents) - 1:  # what people say is believed beforehand, so that y keeps meaning toxic
+                mass = float((share * self.counts).sum())
+                table[label, 0, label] += GIVEN * mass
+                table[label, 0, 1 - label] += (1 - GIVEN) * mass
         return table / table.sum(axis=2, keepdims=True)
 
     def _step(self) -> float:
@@ -148,7 +153,7 @@ class LabelModel:
 
     def _correlate(self) -> None:
         """A forest of the strongest dependencies; each voter hangs on at most one other."""
-        count = self.patterns.shape[1]
+        count = self.patterns.shape[1] - 1  # people's label depends on nothing else
         links = sorted(((self._information(a, b), a, b) for a in range(count) for b in range(a)), reverse=True)
         group, near = list(range(count)), {v: [] for v in range(count)}
         for value, a, b in links:
@@ -156,7 +161,7 @@ class LabelModel:
                 group = [group[b] if g == group[a] else g for g in group]
                 near[a].append(b)
                 near[b].append(a)
-        self.parents, seen = [-1] * count, set()
+        self.parents, seen = [-1] * (count + 1), set()
         for root in range(count):
             stack = [(root, -1)]
             while stack:
@@ -167,9 +172,8 @@ class LabelModel:
                     stack += [(x, voter) for x in near[voter]]
 
     def fit(self) -> np.ndarray:
-        for correlated in (False, True):
-            if correlated:
-                self._correlate()
+        for _ in range(2):  # dependencies first: voters that copy one another would else pass for the label
+            self._correlate()
             for _ in range(ROUNDS):
                 if self._step() < 1e-4:
                     break
