@@ -24,8 +24,8 @@ def join_text(separator: str, *columns: Column | str) -> Column:
 
 
 def number_after(column: Column, prefix: str) -> Column:
-    """The integer that is left once `prefix` is taken out; bad text is an error."""
-    return F.replace(column, F.lit(prefix), F.lit("")).cast("int")
+    """The whole number (a long) that is left once `prefix` is taken out; bad text is an error."""
+    return F.replace(column, F.lit(prefix), F.lit("")).cast("long")
 
 
 def starred(prefix: str, column: Column) -> Column:

@@ -23,7 +23,8 @@ def latest(columns: Sequence[str], order: Sequence[str]) -> Column:
     stand beside sums in one `groupBy` and needs no window over a whole group.
     """
     usable = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in order))
-    return F.max_by(F.struct(*columns), F.when(usable, F.struct(*order)))
+    rest = [c for c in columns if c not in order]  # rows that tie in `order` are told apart by what is picked
+    return F.max_by(F.struct(*columns), F.when(usable, F.struct(*order, *rest)))
 
 
 def latest_per_key(table: DataFrame, key: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ Which state a step reads is the caller's choice, made by what is passed in.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -26,6 +27,7 @@ from rentledger.operators.joins import (
     one_per_key,
     semi_join,
 )
+from rentledger.sources.shared import durable
 from rentledger.sources.tables import append
 
 
@@ -60,7 +62,8 @@ def new_rows(
 
     The table is first cut down to the keys that the source has. A small
     source is broadcast for that, so that a large table is scanned in its key
-    columns only and never shuffled.
+    columns only and never shuffled. The source is read twice; one that is more than a
+    scan or literal rows is stored first, by `stored_once`.
     """
     table_keys = key_rows(table, table_on or on, prefix="_t")
     names = table_keys.columns
@@ -68,6 +71,17 @@ def new_rows(
     return anti_join(source, present, on, names, unique="left" if unique_source else None)
 
 
+def stored_once(source: DataFrame) -> DataFrame:
+    """The source itself where reading it again costs a scan of its rows at most, else its rows, stored.
+
+    Only filters, columns, literal rows and stored tables are read again; joins, groups and sorts are run once.
+    """
+    plan = source._jdf.queryExecution().optimizedPlan().toString()
+    if re.search(r"\b(Join|Aggregate|Window|Generate|Sort|Distinct|Repartition|Python|Pandas|Arrow)", plan):
+        return durable(source)
+    return source
+
+
 def insert_rows(
     table: DataFrame,
     source: DataFrame,
@@ -97,6 +111,7 @@ def insert_if_absent(
     """
     if distinct:
         source = source.distinct()
+    source = stored_once(source)
     fresh = new_rows(source, table, on, table_on)
     return _inserted(table, fresh, id_column, id_order, defaults, unique_order)
 
@@ -118,12 +133,14 @@ def insert_skip_conflicts(
     `nullable_key=False` says that there is none and saves reading the source
     for it. Only this key is forgiven: a repeat in one of `other_keys` is an error.
     """
+    source = stored_once(source)
     complete = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in key))
     rest = [c for c in source.columns if c not in key]
+    earliest = F.struct(*order, *(c for c in rest if c not in order))  # rows that tie in `order` are told apart by the rest
     firsts = (
         (source.where(complete) if nullable_key else source)
         .groupBy(*key)
-        .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row") if rest else F.lit(1).alias("_row"))
+        .agg(F.min_by(F.struct(*rest), earliest).alias("_row") if rest else F.lit(1).alias("_row"))
         .select(*key, *(F.col("_row")[c].alias(c) for c in rest))
         .select(*source.columns)
     )
@@ -168,7 +185,7 @@ def update_from(
     keyed_source = keyed(source, source_on or on)
     names = key_names(on)
     new = F.struct(*((F.col(v) if isinstance(v, str) else v).alias(c) for c, v in values.items()))
-    pick = F.min_by(new, F.struct(*source_order)) if source_order else F.min(new)
+    pick = F.min_by(new, F.struct(*source_order, new)) if source_order else F.min(new)
     one = one_per_key(keyed_source.dropna(subset=names), names, [pick.alias("_new")], unique)
     joined = keyed(table, on).join(one, names, "left")
     hit = F.col("_new").isNotNull()

@@ -242,7 +242,7 @@ ORACLES["case_insensitive_join"] = """
 
 ORACLES["natural_key_lookup"] = """
     SELECT o_orderkey, c_name AS customer_name, c_custkey
-    FROM orders JOIN customer ON c_name = 'Customer#' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0')
+    FROM orders JOIN customer ON c_name = printf('Customer#%09d', o_orderkey)
 """
 
 ORACLES["optional_key_lookup"] = """
@@ -259,7 +259,7 @@ ORACLES["predicate_counts"] = """
            count(*) FILTER (upper(p_type) IN ('SMALL', 'LARGE')) AS in_list,
            count(*) FILTER (nullif(p_size, 7) IS NULL) AS is_null,
            count(*) FILTER (nullif(p_size, 7) IS NULL OR p_size < 5) AS or_guard,
-           count(*) FILTER (CAST(replace(p_brand, 'Brand#', '') AS INTEGER) % 3 = 0) AS parsed_number
+           count(*) FILTER (CAST(replace(p_brand, 'Brand#', '') AS BIGINT) % 3 = 0) AS parsed_number
     FROM part
 """
 
@@ -377,7 +377,7 @@ ORACLES["backfill_column"] = """
 """
 
 ORACLES["delete_mod"] = """
-    SELECT * FROM customer WHERE CAST(replace(c_name, 'Customer#', '') AS INTEGER) % 3 <> 0
+    SELECT * FROM customer WHERE CAST(replace(c_name, 'Customer#', '') AS BIGINT) % 3 <> 0
 """
 
 ORACLES["delete_null_predicate"] = """

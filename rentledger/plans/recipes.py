@@ -32,10 +32,11 @@ from rentledger.operators.joins import eq_scalar, resolve_keys, semi_join, with_
 from rentledger.operators.ordering import order
 from rentledger.operators.policy import policy_leaks, visible_rows
 from rentledger.plans.fleet import LOAD_DATE
+from rentledger.sources.shared import durable
 from rentledger.sources.tables import create_as, row_count, sequence_table, table_size, truncate
 
 
-# Years a film can be from. The bounds are a choice of this library.
+# Years a film can be from, unless the caller says otherwise. The bounds are a choice of this library.
 FILM_YEARS = (1880, 2200)
 
 
@@ -68,14 +69,15 @@ def add_films(
     language_name: str = "English",
     as_of: dt.date | None = None,
     ratings: Sequence[str] = RATINGS,
+    years: tuple[int, int] = FILM_YEARS,
 ) -> RecipeResult:
     """Insert seed films that are new by title and year, then link every seed film to its category.
 
     The seed has the film's columns and `category_name`. A rating that is not
-    listed, or a year that is none, is an error.
+    listed, or a year outside `years`, is an error.
     """
     seed = seed.withColumns(
-        {"release_year": within(F.col("release_year"), *FILM_YEARS), "rating": member_of(F.col("rating"), ratings)}
+        {"release_year": within(F.col("release_year"), *years), "rating": member_of(F.col("rating"), ratings)}
     )
     spoken = language.where(F.col("name") == language_name).select("language_id")
     described = with_one_row(seed.drop("category_name"), spoken).withColumn("last_update", _today(as_of))
@@ -220,14 +222,14 @@ def _with_email(customer: DataFrame, email: str) -> DataFrame:
 
 def preview_purge(customer: DataFrame, rental: DataFrame, payment: DataFrame, email: str) -> DataFrame:
     """How many payments and rentals `purge_customer` would delete."""
-    owner = _with_email(customer, email)
+    owner = durable(_with_email(customer, email).select("customer_id"))
     facts = {"payment": payment, "rental": rental}
     return count_report({name: semi_join(fact, owner, ["customer_id"], unique="right") for name, fact in facts.items()})
 
 
 def purge_customer(customer: DataFrame, rental: DataFrame, payment: DataFrame, email: str) -> RecipeResult:
     """Delete the payments, then the rentals, of the customers with this e-mail."""
-    owner = _with_email(customer, email).select("customer_id")
+    owner = durable(_with_email(customer, email).select("customer_id"))  # few rows, and known to be few
     payments = delete_using(payment, owner, ["customer_id"], unique="right")
     rentals = delete_using(rental, owner, ["customer_id"], unique="right")
     report = count_report({"payment": payments.affected, "rental": rentals.affected})
@@ -254,13 +256,9 @@ def rent_and_pay(
     clerks = (
         semi_join(staff, renter, ["store_id"]).groupBy("store_id").agg(F.min("staff_id").alias("staff_id"))
     )
-    booked_by = renter.join(clerks, "store_id")
-    copies = (
-        _titles_of(film, seed)
-        .select("film_id", "title", "rental_duration", "rental_rate")
-        .join(inventory.select("inventory_id", "film_id", "store_id"), "film_id")
-        .join(booked_by, "store_id")
-    )
+    booked_by = durable(renter.join(clerks, "store_id"))  # known to be few, so copies are cut to their store without a shuffle
+    stocked = inventory.select("inventory_id", "film_id", "store_id").join(booked_by, "store_id")
+    copies = _titles_of(film, seed).select("film_id", "title", "rental_duration", "rental_rate").join(stocked, "film_id")
     wanted = (
         seed.select(F.upper("title").alias("_title"), "rental_date")
         .join(copies.withColumn("_title", F.upper("title")), "_title")
@@ -358,10 +356,9 @@ def bulk_lifecycle(spark: SparkSession, n: int, folder: str, prefix: str = BULK_
 
 
 def principal_access(
-    entity: DataFrame, facts: Mapping[str, DataFrame], principal: str, keys: Sequence[str] = ("customer_id",)
+    entity: DataFrame, facts: Mapping[str, DataFrame], principal: str, key: str = "customer_id"
 ) -> DataFrame:
     """Per fact: rows the principal sees, and how many of those belong to somebody else."""
-    (key,) = keys
     seen = {name: visible_rows(fact, entity, principal, key) for name, fact in facts.items()}
     visible = count_report(seen).withColumnRenamed("row_count", "visible")
     leaks = count_report({name: policy_leaks(table, entity, principal, key) for name, table in seen.items()})

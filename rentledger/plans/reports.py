@@ -59,7 +59,7 @@ def revenue_per_store(
     stores = store.join(address, "address_id").select(
         "store_id", join_text(", ", "address", "address2").alias("address")
     )
-    with_revenue = with_agg(stores, per_store, ["store_id"], {"revenue": F.sum("taken")}, zero=["revenue"])
+    with_revenue = with_agg(stores, per_store, ["store_id"], {"revenue": F.sum("taken")}, zero=["revenue"], unique="left")
     return order(with_revenue, [asc("address")], ["store_id"]).drop("store_id")
 
 
@@ -158,9 +158,9 @@ def inactivity_gap(
     Actors without any link are left out; actors whose films all are missing
     have an unknown gap and come first.
     """
-    linked = semi_join(actor.select("actor_id", "first_name", "last_name"), film_actor, ["actor_id"], unique="left")
-    years = film_actor.select("actor_id", "film_id").join(film.select("film_id", "release_year"), "film_id")
-    dated = with_agg(linked, years, ["actor_id"], {"latest_release_year": F.max("release_year")})
+    years = film_actor.select("actor_id", "film_id").join(film.select("film_id", "release_year"), "film_id", "left")
+    latest_year = years.groupBy("actor_id").agg(F.max("release_year").alias("latest_release_year"))
+    dated = actor.select("actor_id", "first_name", "last_name").join(latest_year, "actor_id")
     gaps = dated.withColumn("inactivity_gap_years", years_since(as_of, F.col("latest_release_year")))
     keys = [desc("inactivity_gap_years"), asc("last_name"), asc("first_name")]
     return order(gaps, keys, ["actor_id"]).drop("actor_id")

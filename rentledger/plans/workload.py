@@ -139,14 +139,14 @@ def films(spark: SparkSession, folder: str) -> DataFrame:
 
 def categories(spark: SparkSession, folder: str) -> DataFrame:
     brands = load(spark, folder, "part").select("p_brand").distinct()
-    return bind(brands, category_id=number_after(F.col("p_brand"), "Brand#"), name="p_brand")
+    return bind(brands, category_id=number_after(F.col("p_brand"), "Brand#").cast("int"), name="p_brand")
 
 
 def film_categories(spark: SparkSession, folder: str) -> DataFrame:
     return bind(
         load(spark, folder, "part"),
         film_id="p_partkey",
-        category_id=number_after(F.col("p_brand"), "Brand#"),
+        category_id=number_after(F.col("p_brand"), "Brand#").cast("int"),
         last_update=F.lit(dt.date(2001, 1, 1)),
     )
 
@@ -376,7 +376,10 @@ def table_count_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def exists_both_first(spark: SparkSession, folder: str) -> DataFrame:
     orders = load(spark, folder, "orders")
-    facts = [(orders.where(F.year("o_orderdate") == year), "o_custkey") for year in (1995, 2001)]
+    facts = [
+        (orders.where(in_range(F.col("o_orderdate"), dt.date(y, 1, 1), dt.date(y + 1, 1, 1))), "o_custkey")
+        for y in (1995, 2001)
+    ]
     return first_active(load(spark, folder, "customer").select("c_custkey", "c_name"), "c_custkey", facts)
 
 
@@ -526,7 +529,7 @@ def correlated_aggregates(spark: SparkSession, folder: str) -> DataFrame:
         "n_urgent": F.count(F.lit(1)),
     }
     customer = load(spark, folder, "customer").select("c_custkey")
-    joined = with_agg(customer, orders, ["c_custkey"], aggregates, ["o_custkey"], zero=["n_urgent"])
+    joined = with_agg(customer, orders, ["c_custkey"], aggregates, ["o_custkey"], zero=["n_urgent"], unique="left")
     return shown(joined, "urgent_total")
 
 
@@ -551,12 +554,17 @@ def case_insensitive_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def customer_name(key: Column) -> Column:
+    """Name that goes with a customer key: at least nine digits, more where the key has more."""
+    return F.format_string("Customer#%09d", key)
+
+
 @query
 def natural_key_lookup(spark: SparkSession, folder: str) -> DataFrame:
     seed = bind(
         load(spark, folder, "orders"),
         o_orderkey="o_orderkey",
-        customer_name=F.concat(F.lit("Customer#"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")),
+        customer_name=customer_name(F.col("o_orderkey")),
     )
     return resolve_keys(seed, load(spark, folder, "customer"), {"customer_name": "c_name"}, {"c_custkey": "c_custkey"})
 
@@ -1115,7 +1123,7 @@ def fleet_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     start_2001 = F.lit(dt.datetime(2001, 1, 1))
     serviced = start_2001 + F.make_dt_interval(F.col("p_size"))
     inspected = start_2001 + F.make_dt_interval(F.lit(5))
-    owner = F.concat(F.lit("Customer#"), F.lpad(text("o_custkey"), 9, "0"))
+    owner = customer_name(F.col("o_custkey"))
     booked = F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 10 YEARS") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), F.col("o_orderkey")
     )
@@ -1139,7 +1147,7 @@ def fleet_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             last_name="s_name",
             email=mail("s_name"),
             phone_number=F.lit(None).cast("string"),
-            job_title=F.lit("Inspector"),
+            job_title=F.lit("Examiner"),
             hired_at=F.lit(dt.date(2001, 1, 1)),
         ),
         "vehicle": bind(
@@ -1155,7 +1163,7 @@ def fleet_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "maintenance_event": bind(
             part,
             vin=starred("V", F.col("p_partkey")),
-            maintenance_type=F.lit("Oil Change"),
+            maintenance_type=F.lit("Tyre swap"),
             opened_at=serviced,
             completed_at=serviced + hour,
             odometer_km=F.col("p_retailprice").cast("decimal(12,2)"),
@@ -1165,7 +1173,7 @@ def fleet_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             supplier,
             vin=starred("V", F.col("s_suppkey")),
             employee_email=mail("s_name"),
-            inspection_type=F.lit("Safety Check"),
+            inspection_type=F.lit("Yearly review"),
             inspection_result=F.lit("passed"),
             inspected_at=inspected,
             odometer_km=F.lit(1).cast("decimal(12,2)"),
@@ -1183,7 +1191,7 @@ def fleet_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             **booking,
             reservation_from=booked,
             started_at=set_off,
-            ended_at=set_off + F.make_dt_interval(F.lit(0), F.lit(0), F.col("o_orderkey").cast("int") % 600),
+            ended_at=set_off + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("o_orderkey") % 600).cast("int")),
             start_odometer_km=F.lit(0).cast("decimal(12,2)"),
             end_odometer_km=F.col("o_totalprice").cast("decimal(12,2)"),
             total_cost=F.col("o_totalprice").cast("decimal(10,2)"),
@@ -1204,7 +1212,7 @@ def fleet_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             vin=starred("V", F.col("p_partkey")),
             opened_at=serviced,
             employee_email=mail("s_name"),
-            assigned_role=F.lit("Technician"),
+            assigned_role=F.lit("Lead"),
             assigned_at=serviced,
         ),
         "vehicle_status_history": bind(

@@ -13,8 +13,9 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by `spark.checkpoint.dir`, or set on the context.
 
-    Only a local session without that setting gets a temporary folder of its
-    own; on a cluster a machine-local folder would be lost with its machine.
+    A session whose master is local may leave the setting out and gets a temporary folder of
+    its own. On a cluster a missing setting is an error, as a machine-local folder would be lost with its
+    machine. A `file:` path there is taken at its word: it must be a mount that all machines share.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -27,12 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[context.applicationId]
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write the rows once to the shared folder and go on from there.
+def durable(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write the rows once below `folder`, the shared folder unless given, and go on from there.
 
     Reuse and lost executors then see the same rows. As a stored table they can
     be read in single columns, and their size is known when joins are planned.
     """
-    path = f"{shared_dir(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    path = f"{folder or shared_dir(df.sparkSession)}/rows-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from rentledger.functions.text import size_pretty, starred
@@ -24,8 +26,14 @@ def bind(table: DataFrame, **columns: str | Column) -> DataFrame:
 
 
 def rows(spark: SparkSession, data: Iterable[Sequence], schema: StructType | str) -> DataFrame:
-    """Literal rows with declared types, for seeds and parameters."""
-    return spark.createDataFrame(list(data), schema)
+    """Literal rows with declared types, for seeds and parameters.
+
+    They go in as an Arrow table, which becomes a local relation: its size is known
+    when joins are planned, so a small seed is broadcast and a stored table is not shuffled for it.
+    """
+    frame = spark.createDataFrame([], schema)
+    made = pa.Table.from_pylist([dict(zip(frame.columns, row)) for row in data], to_arrow_schema(frame.schema))
+    return spark.createDataFrame(made, frame.schema)
 
 
 def sequence_table(spark: SparkSession, n: int, prefix: str, column: str = "col") -> DataFrame:
@@ -95,11 +103,10 @@ def row_count(table: DataFrame) -> DataFrame:
 
 
 def table_size(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Files and bytes of a stored table. Only file lengths are listed, no content is read."""
+    """All visible files of a stored table and their bytes. Only file lengths are listed, no content is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     totals = (
-        files.where(F.col("path").endswith(".parquet"))
-        .select("path", "length")
+        files.select("path", "length")
         .agg(
             F.count("path").alias("file_count"),
             F.coalesce(F.sum("length"), F.lit(0).cast("long")).alias("total_bytes"),

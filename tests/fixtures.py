@@ -122,136 +122,105 @@ def film_rental(spark: SparkSession) -> dict[str, DataFrame]:
 
 
 def fleet_seeds(spark: SparkSession) -> dict[str, DataFrame]:
-    """Two rows per fleet table, with natural keys."""
+    """A few rows for each fleet table, with natural keys.
+
+    One vehicle has two trips, one of them still open and without a reservation; one
+    trip ends within its first minute; one vehicle names a type that is not there.
+    """
 
     def table(ddl: str, data: list[tuple]) -> DataFrame:
         return spark.createDataFrame(data, ddl)
 
-    a, b = "ada@example.com", "bob@example.com"
-    tech, look = "tech@example.com", "look@example.com"
-    va, vb = "VIN-A", "VIN-B"
+    kim, lou = "kim@mail.test", "lou@mail.test"
+    fix, see = "fix@depot.test", "see@depot.test"
+    red, blue = "CH-RED-1", "CH-BLUE-2"
+    booked, quick, still = ts("2031-08-09 18:00:00"), ts("2031-08-10 00:30:00"), ts("2031-09-01 21:40:00")
+    opened, checked = ts("2031-07-07 14:20:00"), ts("2031-07-30 10:10:00")
     return {
-        "vehicle_type": table("type_name STRING, description STRING", [("Van", "Big"), ("Mini", "Small")]),
+        "vehicle_type": table("type_name STRING, description STRING", [("Tandem", "two seats"), ("Cargo", None)]),
         "app_user": table(
             "first_name STRING, last_name STRING, email STRING, phone_number STRING, driver_license_no STRING, "
             "registered_at TIMESTAMP",
             [
-                ("Ada", "Ash", a, "100", "L1", ts("2024-01-02 08:00:00")),
-                ("Bob", "Bay", b, "200", "L2", ts("2024-01-03 08:00:00")),
+                ("Kim", "Umber", kim, "+0 11", "K-11", ts("2030-11-11 11:11:11")),
+                ("Lou", "Vale", lou, "+0 22", "L-22", ts("2031-02-02 22:22:22")),
             ],
         ),
         "employee": table(
             "first_name STRING, last_name STRING, email STRING, phone_number STRING, job_title STRING, hired_at DATE",
             [
-                ("Tia", "Elk", tech, None, "Technician", dt.date(2022, 5, 1)),
-                ("Leo", "Oak", look, None, "Inspector", dt.date(2023, 5, 1)),
+                ("Ira", "Wick", fix, None, "Mender", dt.date(2027, 10, 3)),
+                ("Max", "Yew", see, None, "Examiner", dt.date(2028, 12, 30)),
             ],
         ),
         "vehicle": table(
             "type_name STRING, vin STRING, registration_plate STRING, brand STRING, model STRING, production_year INT, "
             "commissioned_at DATE, current_odometer_km DECIMAL(12,2)",
             [
-                ("Van", va, "P-A", "Acme", "One", 2015, dt.date(2015, 6, 1), D("100.50")),
-                ("Mini", vb, "P-B", "Acme", "Two", 2019, None, D("50.00")),
-                ("Bus", "VIN-C", "P-C", "Acme", "Three", 2019, None, D("50.00")),
+                ("Tandem", red, "RD 1", "Velox", "T", 2022, dt.date(2022, 9, 9), D("7.25")),
+                ("Cargo", blue, "BL 2", "Velox", "C", 2024, None, D("0.00")),
+                ("Rickshaw", "CH-GREY-3", "GY 3", "Velox", "R", 2024, None, D("1.00")),
             ],
         ),
         "maintenance_event": table(
             "vin STRING, maintenance_type STRING, opened_at TIMESTAMP, completed_at TIMESTAMP, "
             "odometer_km DECIMAL(12,2), maintenance_status STRING, cost_amount DECIMAL(10,2)",
             [
-                (va, "Oil", ts("2024-02-10 07:00:00"), ts("2024-02-10 08:00:00"), D("90.00"), "completed", D("20.00")),
-                (vb, "Brakes", ts("2024-03-05 11:00:00"), None, D("40.00"), "planned", None),
+                (red, "Chain", opened, ts("2031-07-09 02:00:00"), D("3.00"), "completed", D("12.34")),
+                (blue, "Lamp", ts("2031-10-31 23:59:00"), None, D("0.00"), "planned", None),
             ],
         ),
         "inspection_event": table(
             "vin STRING, employee_email STRING, inspection_type STRING, inspection_result STRING, notes STRING, "
             "inspected_at TIMESTAMP, odometer_km DECIMAL(12,2)",
             [
-                (va, look, "Annual", "passed", None, ts("2024-02-01 12:00:00"), D("80.00")),
-                (vb, look, "Safety", "failed", "tyres", ts("2024-03-01 07:15:00"), D("45.00")),
+                (red, see, "Frame", "passed", None, ts("2031-01-15 19:05:00"), D("1.75")),
+                (blue, see, "Frame", "failed", "bent fork", checked, D("0.00")),
             ],
         ),
         "reservation": table(
             "user_email STRING, vin STRING, reserved_from TIMESTAMP, reserved_until TIMESTAMP, created_at TIMESTAMP, "
             "cancelled_at TIMESTAMP",
             [
-                (a, va, ts("2024-03-20 07:00:00"), ts("2024-03-20 16:00:00"), ts("2024-03-13 10:00:00"), None),
-                (b, vb, ts("2024-04-10 05:00:00"), ts("2024-04-10 09:00:00"), ts("2024-04-08 13:00:00"), None),
+                (kim, red, booked, ts("2031-08-09 23:00:00"), ts("2031-06-01 04:00:00"), None),
+                (lou, red, quick, ts("2031-08-10 01:00:00"), ts("2031-08-09 20:00:00"), None),
             ],
         ),
         "trip": table(
             "user_email STRING, vin STRING, reservation_from TIMESTAMP, started_at TIMESTAMP, ended_at TIMESTAMP, "
             "start_odometer_km DECIMAL(12,2), end_odometer_km DECIMAL(12,2), total_cost DECIMAL(10,2)",
             [
-                (
-                    a,
-                    va,
-                    ts("2024-03-20 07:00:00"),
-                    ts("2024-03-20 07:15:00"),
-                    ts("2024-03-20 08:45:00"),
-                    D("100.50"),
-                    D("150.50"),
-                    D("35.00"),
-                ),
-                (
-                    b,
-                    vb,
-                    ts("2024-04-10 05:00:00"),
-                    ts("2024-04-10 05:10:00"),
-                    ts("2024-04-10 06:05:00"),
-                    D("50.00"),
-                    D("82.50"),
-                    D("21.00"),
-                ),
+                (kim, red, booked, ts("2031-08-09 18:03:00"), ts("2031-08-09 20:20:59"), D("7.25"), D("19.00"), D("8.80")),
+                (lou, red, quick, ts("2031-08-10 00:31:00"), ts("2031-08-10 00:31:42"), D("19.00"), D("19.00"), D("0.00")),
+                (kim, blue, None, still, None, D("0.00"), None, None),
             ],
         ),
         "payment": table(
             "user_email STRING, vin STRING, trip_started_at TIMESTAMP, amount DECIMAL(10,2), payment_method STRING, "
             "payment_status STRING, paid_at TIMESTAMP",
             [
-                (a, va, ts("2024-03-20 07:15:00"), D("35.00"), "card", "paid", ts("2024-03-20 08:50:00")),
-                (b, vb, ts("2024-04-10 05:10:00"), D("21.00"), "wallet", "pending", None),
+                (kim, red, ts("2031-08-09 18:03:00"), D("8.80"), "card", "paid", ts("2031-08-11 06:30:00")),
+                (lou, red, ts("2031-08-10 00:31:00"), D("0.00"), "wallet", "pending", None),
             ],
         ),
         "rating": table(
             "user_email STRING, vin STRING, trip_started_at TIMESTAMP, score INT, comment_text STRING",
             [
-                (a, va, ts("2024-03-20 07:15:00"), 5, "fine"),
-                (b, vb, ts("2024-04-10 05:10:00"), 4, None),
+                (kim, red, ts("2031-08-09 18:03:00"), 2, "squeaks"),
+                (lou, red, ts("2031-08-10 00:31:00"), 3, None),
             ],
         ),
         "maintenance_event_employee": table(
             "vin STRING, opened_at TIMESTAMP, employee_email STRING, assigned_role STRING",
-            [
-                (va, ts("2024-02-10 07:00:00"), tech, "Technician"),
-                (vb, ts("2024-03-05 11:00:00"), tech, "Technician"),
-            ],
+            [(red, opened, fix, "Lead"), (red, opened, see, "Witness")],
         ),
         "vehicle_status_history": table(
             "vin STRING, status_code STRING, reservation_from TIMESTAMP, trip_started_at TIMESTAMP, "
             "maintenance_opened_at TIMESTAMP, inspection_at TIMESTAMP, valid_from TIMESTAMP, valid_to TIMESTAMP",
             [
-                (
-                    va,
-                    "in_use",
-                    ts("2024-03-20 07:00:00"),
-                    ts("2024-03-20 07:15:00"),
-                    None,
-                    None,
-                    ts("2024-03-20 07:15:00"),
-                    ts("2024-03-20 08:45:00"),
-                ),
-                (
-                    vb,
-                    "inspection",
-                    None,
-                    None,
-                    None,
-                    ts("2024-03-01 07:15:00"),
-                    ts("2024-03-01 07:15:00"),
-                    None,
-                ),
+                (red, "maintenance", None, None, opened, None, opened, ts("2031-07-09 02:00:00")),
+                (blue, "in_use", None, still, None, None, still, None),
+                (blue, "inspection", None, None, None, checked, checked, ts("2031-07-30 12:00:00")),
             ],
         ),
     }

@@ -51,3 +51,14 @@ def test_order_and_top_k(spark):
 def test_top_k_keeps_k_rows_per_task(spark):
     plan = top_k(spark.range(1000), [desc("id")], 5, [])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_full_ties_give_one_answer_whatever_the_order_of_rows(spark):
+    from rentledger.operators.aggregates import latest_per_key
+
+    rows = [("a", 5, f"v{i}") for i in range(50)]
+    found = {
+        tuple(latest_per_key(spark.createDataFrame(rows[i:] + rows[:i], "k string, o int, v string").repartition(i + 1), ["k"], ["o"], ["v"]).first())
+        for i in range(5)
+    }
+    assert found == {("a", "v9")}

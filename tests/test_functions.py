@@ -133,3 +133,12 @@ def test_today_is_the_default(spark):
         0,
         None,
     )
+
+
+def test_numbers_and_names_are_not_cut(spark):
+    from rentledger.plans.workload import customer_name
+
+    assert one(spark, fn.number_after(F.lit("p3000000000"), "p")) == (3_000_000_000,)
+    names = {7: "Customer#000000007", 1234567890: "Customer#1234567890", 1234567890123: "Customer#1234567890123"}
+    for key, name in names.items():
+        assert one(spark, customer_name(F.lit(key).cast("long"))) == (name,)

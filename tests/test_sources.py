@@ -103,3 +103,31 @@ def test_shared_dir_prefers_the_setting():
 def test_shared_dir_refuses_a_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared.shared_dir(Session())
+
+
+def test_files_of_any_suffix_count(spark, tmp_path):
+    from rentledger.sources.tables import table_size
+
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "part-0.parquet").write_bytes(b"x" * 10)
+    (folder / "part-1.orc").write_bytes(b"y" * 7)
+    (folder / "_SUCCESS").write_bytes(b"")
+    found = table_size(spark, str(folder), "mixed").first()
+    assert (found.file_count, found.total_bytes) == (2, 17)
+
+
+def test_literal_rows_have_a_known_size_and_keep_their_types(spark, tmp_path):
+    import decimal
+
+    from rentledger.operators.joins import semi_join
+    from rentledger.sources.tables import rows
+
+    ddl = "k BIGINT, d DECIMAL(10,2), a ARRAY<STRING>, n INT"
+    seed = rows(spark, [(1, decimal.Decimal("2.50"), ["x", None], None), (2, None, None, 3)], ddl)
+    assert [tuple(r) for r in seed.collect()] == [(1, decimal.Decimal("2.50"), ["x", None], None), (2, None, None, 3)]
+    assert rows(spark, [], ddl).count() == 0 and rows(spark, [], ddl).schema == seed.schema
+    spark.range(10_000).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    plan = semi_join(stored, seed, ["k"], unique="right")._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
