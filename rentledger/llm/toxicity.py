@@ -2,7 +2,7 @@
 
 1. Voters. Terms (whole words and word stems of a few letters) that are far commoner
    in toxic than in clean training texts are mined, and dealt into lexicons and
-   stem patterns by kind and hash. Together with a fixed word list and
+   stem patterns by kind and hash. Together with a fixed word list, the number of words that hit and
    patterns of form (shouting, marks, no hit at all) they vote toxic, clean or abstain.
 2. Label model. A generative model of a hidden label y and the votes: each voter has
    its own accuracy given y, and may further depend on one other voter. The
@@ -34,7 +34,8 @@ from rentledger.sources.shared import durable
 
 SAMPLE = 20_000  # labelled rows that the model is fitted on, at most, chosen by a hash of the id
 TERMS = 2_000  # terms that are kept, by strength
-STEMS = (3, 4, 5, 6)  # letters of the stems that are mined
+STEMS = (3, 4, 5, 6, 7, 8)  # letters of the stems that are mined
+SEVERAL = 2  # words with hits from which a text is voted toxic; one alone may be chance
 SUPPORT, SHARE, LIFT = 5, 0.02, 20.0  # toxic texts a term must be in, their share, and how many times commoner it must be there
 LEXICONS = 4  # voters that the mined words, and as many that the stems, are dealt into
 ROUNDS, DEPENDENT = 50, 0.01  # of EM; conditional mutual information from which voters depend on each other
@@ -75,25 +76,29 @@ class Model:
     def voter_of(self, term: str) -> int:
         return crc32(term.encode()) % LEXICONS + (LEXICONS if term.endswith("*") else 0)
 
-    def hits(self, text: str | None) -> list[str]:
-        own = words(text)
-        found = [w for w in own if w in self.terms]
-        stems = {w[:n] for w in own for n in STEMS if len(w) > n}
-        return found + [s + "*" for s in stems if s + "*" in self.terms]
-
-    def votes(self, text: str | None, hits: list[str]) -> list[int]:
-        """Lexicons, stem patterns, the fixed list, forms; the last votes clean where no term hits."""
+    def hits(self, text: str | None) -> tuple[list[str], int]:
+        """The terms that occur, and the number of words with any."""
+        found, several = set(), 0
+        for word in words(text):
+            own = [t for t in (word, *(word[:n] + "*" for n in STEMS if len(word) > n)) if t in self.terms]
+            found.update(own)
+            several += bool(own)
+        return sorted(found), several
+
+    def votes(self, text: str | None, hits: list[str], several: int) -> list[int]:
+        """Lexicons, stem patterns, the fixed list, number of words, forms; the last votes clean where no term hits."""
         cast = [ABSTAIN] * (2 * LEXICONS)
         for term in hits:
             cast[self.voter_of(term)] = TOXIC
         listed = not INSULTS.isdisjoint(words(text))
-        return [*cast, TOXIC if listed else ABSTAIN, *_shape(text), ABSTAIN if hits or listed else CLEAN]
+        many = TOXIC if several >= SEVERAL else ABSTAIN
+        return [*cast, TOXIC if listed else ABSTAIN, many, *_shape(text), ABSTAIN if hits or listed else CLEAN]
 
     def score(self, text: str | None) -> float:
-        hits = self.hits(text)
+        hits, several = self.hits(text)
         sum_ = self.bias + sum(self.weights[self.terms[t]] for t in hits)
         if len(self.voters):
-            sum_ += float(_signs(np.array(self.votes(text, hits))) @ self.voters)
+            sum_ += float(_signs(np.array(self.votes(text, hits, several))) @ self.voters)
         elif not INSULTS.isdisjoint(words(text)):
             sum_ += 4.0
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum_))))
@@ -254,7 +259,7 @@ def _hit(shared) -> Callable:
         for batch in batches:
             texts = [t.as_py() for t in batch.column("text")]
             hits = [model.hits(t) for t in texts]
-            columns = [[sorted(model.terms[x] for x in h) for h in hits], [model.votes(t, h) for t, h in zip(texts, hits)]]
+            columns = [[sorted(model.terms[x] for x in h) for h, _ in hits], [model.votes(t, *h) for t, h in zip(texts, hits)]]
             made = [pa.array(c, pa.list_(pa.int32())) for c in columns]
             yield pa.RecordBatch.from_arrays([*made, batch.column("toxic")], names=["hits", "votes", "toxic"])
 
