@@ -21,6 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 from zlib import crc32
 
 import numpy as np
@@ -59,10 +60,11 @@ def terms_of(text: str | None) -> set[str]:
 def _shape(text: str | None) -> list[int]:
     """Votes of the patterns of form: shouting, exclamation marks."""
     text = text or ""
-    letters, upper = sum(map(str.isalpha, text)), sum(map(str.isupper, text))
+    signs = Counter(text)
+    letters, upper = (sum(n for sign, n in signs.items() if kind(sign)) for kind in (str.isalpha, str.isupper))
     return [
         TOXIC if letters >= 20 and 2 * upper > letters else ABSTAIN,
-        TOXIC if text.count("!") * 50 > len(text) > 0 else ABSTAIN,
+        TOXIC if signs["!"] * 50 > len(text) > 0 else ABSTAIN,
     ]
 
 
@@ -76,30 +78,36 @@ class Model:
     def voter_of(self, term: str) -> int:
         return crc32(term.encode()) % LEXICONS + (LEXICONS if term.endswith("*") else 0)
 
-    def hits(self, text: str | None) -> tuple[list[str], int]:
-        """The terms that occur, and the number of words with any."""
-        found, several = set(), 0
-        for word in words(text):
+    @cached_property
+    def heads(self) -> frozenset[str]:
+        """First letters of all terms; a word that begins otherwise cannot hit."""
+        return frozenset(t.rstrip("*")[: min(STEMS)] for t in self.terms)
+
+    def hits(self, text: str | None) -> tuple[list[str], int, bool]:
+        """The terms that occur, the number of words with any, and whether a word is in the fixed list."""
+        found, several, heads, head, all_words = set(), 0, self.heads, min(STEMS), words(text)
+        for word in all_words:
+            if word[:head] not in heads:
+                continue
             own = [t for t in (word, *(word[:n] + "*" for n in STEMS if len(word) > n)) if t in self.terms]
             found.update(own)
             several += bool(own)
-        return sorted(found), several
+        return sorted(found), several, not INSULTS.isdisjoint(all_words)
 
-    def votes(self, text: str | None, hits: list[str], several: int) -> list[int]:
+    def votes(self, text: str | None, hits: list[str], several: int, listed: bool) -> list[int]:
         """Lexicons, stem patterns, the fixed list, number of words, forms; the last votes clean where no term hits."""
         cast = [ABSTAIN] * (2 * LEXICONS)
         for term in hits:
             cast[self.voter_of(term)] = TOXIC
-        listed = not INSULTS.isdisjoint(words(text))
         many = TOXIC if several >= SEVERAL else ABSTAIN
         return [*cast, TOXIC if listed else ABSTAIN, many, *_shape(text), ABSTAIN if hits or listed else CLEAN]
 
     def score(self, text: str | None) -> float:
-        hits, several = self.hits(text)
+        hits, several, listed = self.hits(text)
         sum_ = self.bias + sum(self.weights[self.terms[t]] for t in hits)
         if len(self.voters):
-            sum_ += float(_signs(np.array(self.votes(text, hits, several))) @ self.voters)
-        elif not INSULTS.isdisjoint(words(text)):
+            sum_ += float(_signs(np.array(self.votes(text, hits, several, listed))) @ self.voters)
+        elif listed:
             sum_ += 4.0
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum_))))
 
@@ -259,7 +267,7 @@ def _hit(shared) -> Callable:
         for batch in batches:
             texts = [t.as_py() for t in batch.column("text")]
             hits = [model.hits(t) for t in texts]
-            columns = [[sorted(model.terms[x] for x in h) for h, _ in hits], [model.votes(t, *h) for t, h in zip(texts, hits)]]
+            columns = [[sorted(model.terms[x] for x in h) for h, *_ in hits], [model.votes(t, *h) for t, h in zip(texts, hits)]]
             made = [pa.array(c, pa.list_(pa.int32())) for c in columns]
             yield pa.RecordBatch.from_arrays([*made, batch.column("toxic")], names=["hits", "votes", "toxic"])
 
