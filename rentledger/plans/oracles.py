@@ -37,6 +37,13 @@ ORACLES["category_range_report"] = """
     ORDER BY c_name
 """
 
+ORACLES["category_repeated_links"] = f"""
+    SELECT title, release_year, rating, CAST(rental_rate AS DOUBLE) AS rental_rate
+    FROM ({FILMS})
+    WHERE release_year BETWEEN 1980 AND 2010 AND rental_rate > 1
+      AND film_id IN (SELECT l_partkey FROM lineitem JOIN region ON r_regionkey = l_suppkey % 5 WHERE lower(r_name) = 'asia')
+"""
+
 ORACLES["zero_kept_revenue"] = f"""
     SELECT concat_ws(', ', n_name, r_name) AS address,
            CAST(coalesce(sum({MONEY.format('o_totalprice')}), 0) AS DOUBLE) AS revenue
@@ -407,7 +414,13 @@ ORACLES["generated_columns"] = f"""
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey
 """
 
-ORACLES["truncate_table"] = "SELECT CAST(0 AS BIGINT) AS row_count"
+ORACLES["truncate_table"] = """
+    SELECT 'before' AS table_name, count(*) AS row_count, CAST((SELECT count(*) FROM (DESCRIBE lineitem)) AS INTEGER) AS n_columns
+    FROM lineitem
+    UNION ALL SELECT 'after', 0, CAST((SELECT count(*) FROM (DESCRIBE lineitem)) AS INTEGER)
+"""
+
+ORACLES["replaced_table"] = "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'O'"
 
 
 def _counted(table: str, rules: dict[str, str]) -> str:
@@ -572,6 +585,11 @@ ORACLES["purge_customer_recipe"] = f"""
     UNION ALL SELECT 'rental', count(*) FROM orders WHERE o_custkey NOT IN {_PURGED}
 """
 
+ORACLES["purge_customer_rows"] = f"""
+    SELECT table_name, o_orderkey AS row_id, o_custkey AS customer_id
+    FROM orders, (VALUES ('payment'), ('rental')) v(table_name) WHERE o_custkey IN {_PURGED}
+"""
+
 ORACLES["rent_and_pay_recipe"] = f"""
     WITH renter AS (SELECT customer_id, store_id FROM ({CUSTOMERS}) WHERE email = 'customer#000000001@example.com'),
     wanted AS (
@@ -600,6 +618,8 @@ ORACLES["load_dates"] = " UNION ALL ".join(
     for name in ("customer", "orders", "part", "supplier", "nation", "region")
 )
 
+ORACLES["load_dates_today"] = "SELECT count(*) AS n_today, count(*) AS n_rows FROM lineitem"
+
 ORACLES["fleet_load"] = """
     SELECT 'vehicle_type' AS table_name, count(DISTINCT p_type) AS row_count FROM part
     UNION ALL SELECT 'app_user', count(*) FROM customer
@@ -615,6 +635,27 @@ ORACLES["fleet_load"] = """
     UNION ALL SELECT 'vehicle_status_history', count(*) FROM orders JOIN part ON p_partkey = o_custkey
 """
 
+ORACLES["fleet_load_again"] = f"""
+    WITH loaded AS ({ORACLES["fleet_load"]}),
+    added(table_name, n) AS (
+        SELECT 'vehicle_type', count(DISTINCT p_brand) FROM part UNION ALL SELECT 'app_user', count(*) FROM customer
+    )
+    SELECT table_name, row_count + coalesce(n, 0) AS n_rows, row_count AS n_dated_first, coalesce(n, 0) AS n_dated_later
+    FROM loaded LEFT JOIN added USING (table_name)
+"""
+
+ORACLES["fleet_trip_rows"] = f"""
+    WITH booked AS (
+        SELECT *, o_orderdate + INTERVAL 10 YEAR + to_seconds(o_orderkey) AS reserved_from FROM orders
+    )
+    SELECT lower(c_name) || '@example.com' AS email, true AS is_active, 'V' || o_custkey AS vin, p_type AS type_name,
+           CAST(o_orderkey % 600 AS INTEGER) AS duration_minutes,
+           CAST({MONEY.format('o_totalprice')} AS DOUBLE) AS distance_km,
+           CAST({MONEY.format('o_totalprice')} AS DOUBLE) AS total_cost,
+           reserved_from, reserved_from + INTERVAL 15 MINUTE AS started_at
+    FROM booked JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = o_custkey
+"""
+
 ORACLES["fleet_trip_measures"] = f"""
     SELECT CAST(o_orderkey % 600 AS INTEGER) AS duration_minutes, count(*) AS n_trips,
            CAST(sum({MONEY.format('o_totalprice')}) AS DOUBLE) AS distance_km

@@ -34,7 +34,7 @@ from rentledger.functions import (
     within,
     years_since,
 )
-from rentledger.operators.aggregates import count_report, eligible, latest_per_key, zero_sum
+from rentledger.operators.aggregates import count_by_value, count_report, eligible, latest_per_key, zero_sum
 from rentledger.operators.audits import (
     audit,
     audit_foreign_key,
@@ -89,7 +89,7 @@ from rentledger.plans.reports import (
     top_staff,
 )
 from rentledger.sources.shared import shared_dir
-from rentledger.sources.tables import append, bind, load, row_count, rows, sequence_table, table_size, truncate
+from rentledger.sources.tables import append, bind, create_as, load, rows, sequence_table, table_size, truncate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -264,6 +264,14 @@ def category_range_report(spark: SparkSession, folder: str) -> DataFrame:
     return films_in_category(film, links, category, "asia", (5, 19), 1.0)
 
 
+@query
+def category_repeated_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Films that are linked to the category many times appear once."""
+    links = bind(load(spark, folder, "lineitem"), film_id="l_partkey", category_id=F.col("l_suppkey") % 5)
+    category = bind(load(spark, folder, "region"), category_id="r_regionkey", name="r_name")
+    return shown(films_in_category(films(spark, folder), links, category, "Asia", (1980, 2010), 1.0), "rental_rate")
+
+
 @query
 def zero_kept_revenue(spark: SparkSession, folder: str) -> DataFrame:
     staff = bind(load(spark, folder, "customer"), staff_id="c_custkey", store_id="c_nationkey")
@@ -431,10 +439,8 @@ def grouped_aggregates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def counts_by_value(spark: SparkSession, folder: str) -> DataFrame:
-    line = load(spark, folder, "lineitem")
-    counts = line.groupBy("l_returnflag").agg(
-        *(F.sum(F.when(F.col("l_linestatus") == v, 1).otherwise(0)).alias(f"n_{v.lower()}") for v in ("O", "F", "X"))
-    )
+    statuses = {f"n_{v.lower()}": v for v in ("O", "F", "X")}
+    counts = count_by_value(load(spark, folder, "lineitem"), ["l_returnflag"], "l_linestatus", statuses)
     return order(counts, [asc("l_returnflag")])
 
 
@@ -844,7 +850,19 @@ def generated_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def truncate_table(spark: SparkSession, folder: str) -> DataFrame:
-    return row_count(truncate(load(spark, folder, "lineitem")))
+    """Rows and columns of a table, and of its emptied snapshot as stored."""
+    before = load(spark, folder, "lineitem")
+    after = create_as(truncate(before), f"{shared_dir(spark)}/emptied-{uuid.uuid4().hex}")
+    widths = F.when(F.col("table_name") == "before", len(before.columns)).otherwise(len(after.columns))
+    return count_report({"before": before, "after": after}).withColumn("n_columns", widths)
+
+
+@query
+def replaced_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored table of finished orders, replaced by one of the open orders."""
+    orders, target = load(spark, folder, "orders"), f"{shared_dir(spark)}/replaced-{uuid.uuid4().hex}"
+    create_as(orders.where(F.col("o_orderstatus") == "F").select("o_custkey"), target)
+    return create_as(orders.where(F.col("o_orderstatus") == "O").select("o_orderkey", "o_orderdate"), target, replace=True)
 
 
 # --- audits and policy ------------------------------------------------------------
@@ -1065,6 +1083,17 @@ def purge_customer_recipe(spark: SparkSession, folder: str) -> DataFrame:
     return count_report({"payment": result.table("payment"), "rental": result.table("rental")})
 
 
+@query
+def purge_customer_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that a purge deletes."""
+    result = recipes.purge_customer(
+        customers(spark, folder), rentals(spark, folder), payments(spark, folder), "CUSTOMER#000000001@example.com"
+    )
+    deleted = {name: result.changes[name].affected for name in ("payment", "rental")}
+    payment = bind(deleted["payment"], table_name=F.lit("payment"), row_id="payment_id", customer_id="customer_id")
+    return payment.unionByName(bind(deleted["rental"], table_name=F.lit("rental"), row_id="rental_id", customer_id="customer_id"))
+
+
 @query
 def rent_and_pay_recipe(spark: SparkSession, folder: str) -> DataFrame:
     """One customer rents every film that the customer's store has a copy of."""
@@ -1113,6 +1142,13 @@ def load_dates(spark: SparkSession, folder: str) -> DataFrame:
     return report
 
 
+@query
+def load_dates_today(spark: SparkSession, folder: str) -> DataFrame:
+    """Without a given day the load date is today."""
+    stamped = recipes.add_load_date({"lineitem": load(spark, folder, "lineitem")})["lineitem"].table
+    return stamped.agg(F.count_if(F.col("record_ts") == F.current_date()).alias("n_today"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def fleet_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Seeds for all twelve fleet tables, with natural keys, made from the star tables."""
     part, customer = load(spark, folder, "part"), load(spark, folder, "customer")
@@ -1246,6 +1282,62 @@ def loaded_trips(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: change.table for name, change in changes.items()}
 
 
+@query
+def fleet_trip_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every loaded trip under its natural keys, with defaults and generated columns."""
+    tables = loaded_trips(spark, folder)
+    user = tables["app_user"].select("user_id", "email", "is_active")
+    vehicle = tables["vehicle"].select("vehicle_id", "vin", "vehicle_type_id")
+    kind = tables["vehicle_type"].select("vehicle_type_id", "type_name")
+    booking = tables["reservation"].select("reservation_id", "reserved_from", "user_id", "vehicle_id")
+    named = (
+        tables["trip"]
+        .join(booking, ["reservation_id", "user_id", "vehicle_id"])
+        .join(user, "user_id")
+        .join(vehicle, "vehicle_id")
+        .join(kind, "vehicle_type_id")
+    )
+    moment = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return shown(
+        named.select(
+            "email", "is_active", "vin", "type_name", "duration_minutes", "distance_km", "total_cost",
+            moment("reserved_from"), moment("started_at"),
+        ),
+        "distance_km", "total_cost",
+    )
+
+
+@query
+def fleet_load_again(spark: SparkSession, folder: str) -> DataFrame:
+    """All twelve tables loaded, given a load date, and loaded again with some new vehicle types and users."""
+    seeds = fleet_seeds(spark, folder)
+    first = load_fleet(empty_fleet(spark), seeds, dt.datetime(2020, 1, 1))
+    dated = recipes.add_load_date({name: change.table for name, change in first.items()}, AS_OF)
+    brands = bind(load(spark, folder, "part"), type_name="p_brand", description="p_name")
+    guests = seeds["app_user"].withColumns(
+        {
+            "email": F.concat(F.lit("guest."), "email"),
+            "driver_license_no": F.concat(F.lit("G"), "driver_license_no"),
+            "phone_number": F.concat(F.lit("+"), "phone_number"),
+        }
+    )
+    later = seeds | {
+        "vehicle_type": seeds["vehicle_type"].unionByName(brands),
+        "app_user": seeds["app_user"].unionByName(guests),
+    }
+    second = load_fleet({name: change.table for name, change in dated.items()}, later, dt.datetime(2020, 1, 2))
+    report = None
+    for name, change in second.items():
+        day = F.col(recipes.LOAD_DATE)
+        counts = change.table.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(day == AS_OF).alias("n_dated_first"),
+            F.count_if(day == dt.date(2020, 1, 2)).alias("n_dated_later"),
+        ).select(F.lit(name).alias("table_name"), "*")
+        report = counts if report is None else report.unionByName(counts)
+    return report
+
+
 @query
 def fleet_trip_measures(spark: SparkSession, folder: str) -> DataFrame:
     """Generated columns of the loaded trips, per number of minutes."""
