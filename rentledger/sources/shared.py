@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="rentledger-")
+        _LOCAL_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="rentledger-"))  # loads may share it
     return _LOCAL_FOLDERS[context.applicationId]
 
 
