@@ -540,6 +540,16 @@ ORACLES["add_actors_recipe"] = f"""
     SELECT title, 'Supplier', s_name, s_suppkey, film_id FROM supplier JOIN film ON film_id = s_suppkey
 """
 
+ORACLES["add_actors_links"] = f"""
+    WITH film AS ({FILMS})
+    SELECT (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_name, c_mktsegment) AS actor_id,
+           c_custkey AS film_id
+    FROM customer JOIN film ON film_id = c_custkey
+    UNION ALL
+    SELECT s_suppkey, film_id FROM supplier JOIN film ON film_id = s_suppkey
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_partkey = film_id)
+"""
+
 COPIES = """
     SELECT DISTINCT l_partkey * 100 + s_nationkey AS inventory_id, l_partkey AS film_id, s_nationkey AS store_id
     FROM lineitem JOIN supplier ON s_suppkey = l_suppkey

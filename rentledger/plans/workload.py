@@ -1018,8 +1018,7 @@ def add_films_recipe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def add_actors_recipe(spark: SparkSession, folder: str) -> DataFrame:
+def added_actors(spark: SparkSession, folder: str) -> recipes.RecipeResult:
     """Customers become the cast of the part with their number, beside all suppliers again in capitals."""
     film = films(spark, folder)
     part = bind(film, number="film_id", movie_title="title")
@@ -1031,8 +1030,18 @@ def add_actors_recipe(spark: SparkSession, folder: str) -> DataFrame:
         last_name=F.upper("s_name"),
     )
     seed = part.join(fans.unionByName(known), "number").drop("number")
-    result = recipes.add_actors(actors(spark, folder), appearances(spark, folder), film, seed, AS_OF)
-    return result.report
+    return recipes.add_actors(actors(spark, folder), appearances(spark, folder), film, seed, AS_OF)
+
+
+@query
+def add_actors_recipe(spark: SparkSession, folder: str) -> DataFrame:
+    return added_actors(spark, folder).report
+
+
+@query
+def add_actors_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The links that were inserted; those that were there already are not."""
+    return added_actors(spark, folder).changes["film_actor"].affected.select("actor_id", "film_id")
 
 
 @query
