@@ -1,10 +1,8 @@
-"""License scans: winnowed fingerprints pick templates, banded alignment measures and locates them.
+"""License scans: words that stand close together pick templates, banded alignment measures and locates them.
 
-Words of texts and templates are hashed, and runs of `GRAM` words hashed from them.
-Winnowing keeps the least hash of every window of `WINDOW` runs, on both sides
-alike, so a common passage of GRAM + WINDOW - 1 words shares at least one. An inverted index of
-the templates' fingerprints turns a text's into pairs of template and diagonal;
-around these the template is aligned with the text within a band of
+An inverted index of the templates' words turns a text's into places of each template. Where
+a stretch of a text holds enough of a template's words, however they are parted, the template is aligned with
+the text around the diagonals of those words, within a band of
 insertions and deletions, which gives the matched share and the span.
 """
 
@@ -102,20 +100,52 @@ def align(template: list[str], text: list[str], at: int, band: int = BAND) -> tu
 class Scanner:
     names: list[str]
     words: list[list[str]]
-    index: dict[int, list[tuple[int, int]]]  # fingerprint: template, place
+    places: list[dict[str, list[int]]]  # of each template: word, where it stands
+    holders: dict[str, list[int]]  # word: templates
     coverage: float
 
     @classmethod
     def build(cls, templates: Mapping[str, str], coverage: float = COVERAGE) -> Scanner:
         names = sorted(templates)
         own = [WORD.findall(templates[n].lower()) for n in names]
-        index = defaultdict(list)
+        places, holders = [], defaultdict(list)
         for number, words in enumerate(own):
-            hashes = _hashes(words)
-            grams = _grams(hashes)
-            for place in range(len(grams)):  # every run, so that any one the text keeps is known
-                index[int(grams[place])].append((number, place))
-        return cls(names, own, dict(index), coverage)
+            places.append({w: [i for i, x in enumerate(words) if x == w] for w in words})
+            for word in places[-1]:
+                holders[word].append(number)
+        return cls(names, own, places, dict(holders), coverage)
+
+    def _near(self, words: list[str]) -> dict[int, set[int]]:
+        """Diagonals of each template at which its words meet the text's, where enough of them stand close together.
+
+        Words matched near one diagonal are within `BAND` of it on either side, so any passage of enough matched words
+        lies in a stretch of the template's length and two bands that holds as many of the template's words.
+        """
+        places = defaultdict(list)
+        for j, word in enumerate(words):
+            if word in self.holders:
+                for number in self.holders[word]:
+                    places[number].append(j)
+        near = defaultdict(set)
+        for number, at in places.items():
+            own, reach = self.places[number], len(self.words[number]) + 2 * BAND
+            least = self.coverage * len(self.words[number])
+            if len(at) < least or sum(len(own[w]) for w in {words[j] for j in at}) < least:
+                continue
+            inside: dict[str, int] = defaultdict(int)
+            enough = low = done = 0
+            for high, j in enumerate(at):
+                inside[words[j]] += 1
+                enough += inside[words[j]] <= len(own[words[j]])
+                while j - at[low] >= reach:
+                    enough -= inside[words[at[low]]] <= len(own[words[at[low]]])
+                    inside[words[at[low]]] -= 1
+                    low += 1
+                if enough >= least:
+                    for k in at[max(low, done) : high + 1]:
+                        near[number].update(k - i for i in own[words[k]])
+                    done = high + 1
+        return near
 
     def scan(self, text: str | None) -> list[tuple]:
         """`license, coverage, first and last word, first and last character, matched text` of each match in a text.
@@ -124,24 +154,16 @@ class Scanner:
         """
         spans = [m.span() for m in WORD.finditer(text or "")]
         words = [text[a:b].lower() for a, b in spans]
-        if len(words) < GRAM:
-            return []
-        hashes = _hashes(words)
-        grams = _grams(hashes)
-        kept = winnow(hashes)
-        known = np.fromiter(self.index, dtype=np.uint64, count=len(self.index))
-        near = defaultdict(set)
-        for place in kept[np.isin(grams[kept], known)].tolist():
-            for number, there in self.index[int(grams[place])]:
-                near[number].add(place - there)
+        near = self._near(words)
         found = []
         for number, diagonals in near.items():
-            template, last = self.words[number], None
+            template, whole = self.words[number], None
             for at in sorted(diagonals):
-                if last is not None and at - last <= BAND // 2:
-                    continue  # the same place, shifted by a few words
-                last = at
+                if whole is not None and at - whole < min(BAND, len(template)):
+                    continue  # all words were matched from there on
                 matches, first, end = align(template, words, at)
+                if matches == len(template) == end - first + 1 and first == at:
+                    whole = at
                 if matches >= self.coverage * len(template):
                     found.append((matches, -number, first, end))
         taken: list[tuple] = []

@@ -323,6 +323,18 @@ def test_license_spans(spark):
         licenses.license_spans(plain(spark, EDGES), {"x": "too short"})
 
 
+def test_notices_with_one_edited_word_are_found():
+    scanner, rng = licenses.Scanner.build(licenses.TEMPLATES), random.Random(6)
+    for name, template in licenses.TEMPLATES.items():
+        own = licenses.WORD.findall(template)
+        for k in range(len(own)):
+            for edited in (own[:k] + ["edited"] + own[k:], own[:k] + ["edited"] + own[k + 1 :], own[:k] + own[k + 1 :]):
+                for _ in range(3):
+                    around = [" ".join(f"v{rng.randrange(999)}" for _ in range(12)) for _ in range(2)]
+                    found = scanner.scan(" ".join([around[0], *edited, around[1]]))
+                    assert [r for r in found if r[1] >= licenses.COVERAGE], (name, edited)
+
+
 def test_winnowing_shares_a_run_with_any_long_common_passage():
     rng = np.random.default_rng(10)
     size = licenses.GRAM + licenses.WINDOW - 1
