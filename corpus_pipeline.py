@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from rentledger.llm import decontamination, toxicity
 from rentledger.llm.common import table, text_bytes
 from rentledger.llm.mixing import mixed_documents
-from rentledger.llm.overlap import near_copies
 from rentledger.llm.queries import MIXTURE, REST
 from rentledger.llm.sharding import histogram_sort
 from rentledger.llm.simhash import one_of_each
@@ -23,8 +22,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more) stays, the one with the smallest id."""
-    return one_of_each(docs, near_copies)
+    """One document of each group of near-duplicates stays, the one with the smallest id: SimHash at 2 bits over 3-word shingles."""
+    return one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
