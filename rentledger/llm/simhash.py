@@ -15,7 +15,7 @@ in common, and a neighbour has at most 65 fingerprints around it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -120,16 +120,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(classes, "fp", "left").select("doc_id", "text_hash", "fp", own)
 
 
-def one_of_each(docs: DataFrame, linked: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
-    """The row with the smallest doc_id of every group of near-duplicates, once; columns as in `docs`.
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The row with the smallest doc_id of every group of near-duplicates, once; columns as in `docs`, whatever their names.
 
-    `linked` gives the `doc_id`, `text_hash` and `component_id` of every row.
     Rows without doc_id all stay. What goes is named by id and a hash of the text, so an id that stands for
     several texts loses only those that another document repeats.
     """
-    found = durable(linked(docs).select("doc_id", "text_hash", "component_id").distinct())
-    gone = found.where("doc_id > component_id").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    keyed = docs.select(*(F.col(f"`{c}`") for c in docs.columns), F.col("doc_id").alias("__id"), text_hash(F.col("text")).alias("__hash"))
-    left = keyed.join(gone, ["__id", "__hash"], "left_anti")
-    known = left.where("__id IS NOT NULL").dropDuplicates(["__id", "__hash"])
-    return known.union(left.where("__id IS NULL")).drop("__id", "__hash")
+    found = durable(near_duplicates(docs).select("doc_id", "text_hash", "component_id").distinct())
+    gone = found.where("doc_id > component_id").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    doc_id, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    left = own.select("*", doc_id.alias("id"), text_hash(text).alias("hash")).join(gone, ["id", "hash"], "left_anti")
+    known = left.where("id IS NOT NULL").dropDuplicates(["id", "hash"])
+    return known.union(left.where("id IS NULL")).drop("id", "hash").toDF(*docs.columns)

@@ -10,10 +10,10 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-import corpus_pipeline
 from rentledger.llm import decontamination as dec
-from rentledger.llm import langid, licenses, overlap, simhash, tokens, toxicity
+from rentledger.llm import langid, licenses, simhash, tokens, toxicity
 from rentledger.llm.components import components
 
 EDGES = [(None, None), (None, "no id"), (901, None), (902, ""), (903, " \t\n "), (904, "12 ?! 34"), (905, "word " * 30_000), (905, "again"), (905, "again")]
@@ -105,48 +105,6 @@ def test_components_of_a_long_chain_a_star_and_loops(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-def plain_copies(texts: dict[int, str | None]) -> dict[int, int]:
-    """Smallest id of each text's group, by comparing all pairs of sets of five-word shingles."""
-    sets, root = {}, {i: i for i in texts}
-    for i, text in texts.items():
-        words = (text or "").lower().split()
-        sets[i] = {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-    for a, b in itertools.combinations(sorted(texts), 2):
-        if root[a] != root[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
-            low, high = sorted((root[a], root[b]))
-            root = {i: low if x == high else x for i, x in root.items()}
-    return root
-
-
-@pytest.mark.parametrize("often", [2, 10**9])
-def test_near_copies_are_all_pairs_at_four_fifths(spark, monkeypatch, often):
-    monkeypatch.setattr(overlap, "OFTEN", often)
-    rng, texts = random.Random(often), {1: None, 2: "", 3: "a b", 4: "A  b", 5: "a b c", 6: "a b c d e"}
-    line = [f"line{k}" for k in range(30)]
-    for base in range(6):
-        words = [f"w{rng.randrange(400)}" for _ in range(rng.choice([12, 60, 150]))] + line[: rng.choice([0, 30])]
-        for _ in range(25):
-            copy = list(words)
-            for _ in range(rng.randrange(6)):
-                copy[rng.randrange(len(copy))] = rng.choice(["x", "y", f"z{rng.randrange(99)}"])
-            if rng.random() < 0.3:
-                copy = copy[rng.randrange(len(copy) // 5) :]
-            texts[len(texts) + 1] = " ".join(copy)
-    docs = spark.createDataFrame([*texts.items(), (None, "a b"), (3, "a b")], "doc_id long, text string")
-    found = overlap.near_copies(docs).collect()
-    expected = plain_copies(texts)
-    assert len(found) == len(texts) + 2 and len(set(expected.values())) > 20
-    assert {r.doc_id: r.component_id for r in found} == expected | {None: None}
-
-
-def test_pipeline_drops_a_copy_at_four_fifths(spark):
-    words = [f"w{k}" for k in range(104)]
-    copy = " ".join([*words[:50], "x", *words[51:80], "y", *words[81:]])  # 90 of 110 shingles
-    far = " ".join([*words[:30], "x", *words[31:60], "y", *words[61:80], "z", *words[81:]])  # 85 of 115
-    docs = spark.createDataFrame([(1, " ".join(words)), (2, copy), (3, far)], "doc_id long, text string")
-    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 3]
-
-
 def test_near_duplicates_and_their_removal(spark):
     long = " ".join(f"w{i}" for i in range(4000))
     rows = [*EDGES, (1, "Same text here now"), (2, "same TEXT here now"), (3, "other words than those"), (10, long), (11, long + " end"), (None, "no id")]
@@ -164,6 +122,9 @@ def test_near_duplicates_and_their_removal(spark):
     assert (2, "same TEXT here now") not in left and (902, "") not in left and left[901, None] == 1
     assert left[905, "again"] == 1 and left[905, "word " * 30_000] == 1
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.one_of_each(docs.limit(0)).count() == 0
+    odd = docs.select("doc_id", "text", F.lit(1).alias("id"), F.lit(2).alias("hash"), F.lit(3).alias("c0"), F.lit(4).alias("__id"))
+    kept = simhash.one_of_each(odd)
+    assert kept.columns == odd.columns and {tuple(r)[2:] for r in kept.collect()} == {(1, 2, 3, 4)}
 
 
 # --- decontamination
