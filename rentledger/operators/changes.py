@@ -7,7 +7,6 @@ Which state a step reads is the caller's choice, made by what is passed in.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -27,7 +26,7 @@ from rentledger.operators.joins import (
     one_per_key,
     semi_join,
 )
-from rentledger.sources.shared import durable
+from rentledger.sources.shared import durable, stored_once
 from rentledger.sources.tables import append
 
 
@@ -71,17 +70,6 @@ def new_rows(
     return anti_join(source, present, on, names, unique="left" if unique_source else None)
 
 
-def stored_once(source: DataFrame) -> DataFrame:
-    """The source itself where reading it again costs a scan of its rows at most, else its rows, stored.
-
-    Only filters, columns, literal rows and stored tables are read again; joins, groups and sorts are run once.
-    """
-    plan = source._jdf.queryExecution().optimizedPlan().toString()
-    if re.search(r"\b(Join|Aggregate|Window|Generate|Sort|Distinct|Repartition|Python|Pandas|Arrow)", plan):
-        return durable(source)
-    return source
-
-
 def insert_rows(
     table: DataFrame,
     source: DataFrame,

@@ -37,3 +37,23 @@ def durable(df: DataFrame, folder: str | None = None) -> DataFrame:
     path = f"{folder or shared_dir(df.sparkSession)}/rows-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Plans that give the same rows each time at the cost of reading them: stored tables and literal rows, in some columns, filtered.
+_READ_AGAIN = {"LogicalRelation", "LocalRelation", "Range", "SubqueryAlias", "Project", "Filter"}
+
+
+def stored_once(source: DataFrame) -> DataFrame:
+    """The source itself where it can be read again: the same rows, for a scan at most. Else its rows, stored.
+
+    Only stored tables, literal rows, columns and filters made of deterministic expressions are read again. Whatever else
+    there is (a limit, a sample, random or time-dependent keys, subqueries, joins, groups, Python) is run once.
+    """
+    plan = source._jdf.queryExecution().analyzed()
+    clock = source.sparkSession._jvm.org.apache.spark.sql.catalyst.trees.TreePattern.CURRENT_LIKE()
+    nodes, plain = [plan], plan.subqueriesAll().isEmpty() and not plan.containsPattern(clock)
+    while nodes and plain:
+        node = nodes.pop()
+        plain = node.getClass().getSimpleName() in _READ_AGAIN and node.deterministic()
+        nodes.extend(node.children().apply(i) for i in range(node.children().size()))
+    return source if plain else durable(source)
