@@ -1,10 +1,12 @@
 """SQL that says the same as each workload query, for an independent engine.
 
-Left out: `stored_table_size`, as bytes on disk are not visible to SQL.
+`stored_table_size` lists the files of the test tables at `SIZED_FOLDER`, as SQL has no other way to name a table's files.
 """
 
 from __future__ import annotations
 
+SIZED_FOLDER = "/root/testdata/sf0.01"
+
 MONEY = "CAST({} AS DECIMAL(18,2))"
 
 FILMS = f"""
@@ -303,6 +305,21 @@ ORACLES["size_pretty_values"] = """
     FROM u
 """
 
+ORACLES["stored_table_size"] = f"""
+    WITH t AS (SELECT count(*) AS file_count, CAST(sum(size) AS BIGINT) AS total_bytes FROM read_blob('{SIZED_FOLDER}/lineitem.parquet')),
+    u AS (SELECT *, (total_bytes + 512) // 1024 AS kb, (total_bytes + 524288) // 1048576 AS mb FROM t)
+    SELECT 'lineitem' AS table_name, file_count, total_bytes,
+           CASE WHEN total_bytes < 10240 THEN total_bytes || ' bytes' WHEN kb < 10240 THEN kb || ' kB' ELSE mb || ' MB' END AS total
+    FROM u
+"""
+
+ORACLES["bulk_sizes"] = """
+    WITH n AS (SELECT count(*) AS made, count(*) - count(*) // 3 AS kept FROM lineitem)
+    SELECT 0 AS step, 'made' AS table_name, CAST(NULL AS BOOLEAN) AS smaller, made > 0 AS has_bytes, false AS footers_only, true AS shown FROM n
+    UNION ALL SELECT 1, 'kept', kept < made, kept > 0, false, true FROM n
+    UNION ALL SELECT 2, 'emptied', kept > 0, true, true, true FROM n
+"""
+
 ORACLES["principal_name_list"] = f"SELECT customer_id, {PRINCIPAL} AS principal FROM ({CUSTOMERS})"
 
 ORACLES["insert_absent_labels"] = """
@@ -654,6 +671,61 @@ ORACLES["fleet_load_again"] = f"""
     FROM loaded LEFT JOIN added USING (table_name)
 """
 
+_MOMENT = "strftime({}, '%Y-%m-%d %H:%M:%S')".format
+
+
+def _named(table: str, name: str, source: str, **columns: str) -> str:
+    """One table's part of `fleet_rows`."""
+    row = " || ';' || ".join(f"'{c}=' || CAST({value} AS VARCHAR)" for c, value in columns.items())
+    return f"SELECT '{table}' AS table_name, {name} AS name, {row} AS row FROM {source}"
+
+
+def _fleet_rows() -> str:
+    mail, vin = "lower(c_name) || '@example.com'", "'V' || o_custkey"
+    booked = "o_orderdate + INTERVAL 10 YEAR + to_seconds(o_orderkey)"
+    off = f"{booked} + INTERVAL 15 MINUTE"
+    hour = "INTERVAL 1 HOUR"
+    opened = "TIMESTAMP '2001-01-01' + to_days(p_size)"
+    ridden = "orders JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = o_custkey"
+    looked = "supplier JOIN part ON p_partkey = s_suppkey"
+    agent = "lower(s_name) || '@example.com'"
+    cost = "CAST(o_totalprice AS DECIMAL(12,2))"
+    of_user = "CAST(o_totalprice AS DECIMAL(10,2))"
+    reservation = f"{mail} || '/' || {vin} || '/' || {_MOMENT(booked)}"
+    serviced = f"'V' || p_partkey || '/Tyre swap/' || {_MOMENT(opened)}"
+    km = "CAST(p_retailprice AS DECIMAL(12,2))"
+    start = "'2001-01-01 00:00:00'"
+    parts = [
+        _named("vehicle_type", "p_type", "(SELECT DISTINCT p_type FROM part)", type_name="p_type", description="p_type"),
+        _named("app_user", mail, "customer", first_name="c_mktsegment", last_name="c_name", email=mail, phone_number="c_custkey",
+               driver_license_no="'L' || c_custkey", registered_at=start, is_active="true"),
+        _named("employee", agent, "supplier", first_name="'Agent'", last_name="s_name", email=agent, phone_number="'-'",
+               job_title="'Examiner'", hired_at="'2001-01-01'", is_active="true"),
+        _named("vehicle", "'V' || p_partkey", "part", vehicle_type_id="p_type", vin="'V' || p_partkey", registration_plate="'P' || p_partkey", brand="p_brand",
+               model="p_name", production_year="2000 + p_size % 20", commissioned_at="'-'", retired_at="'-'", current_odometer_km=km),
+        _named("maintenance_event", serviced, "part", vehicle_id="'V' || p_partkey", maintenance_type="'Tyre swap'", description="'-'", opened_at=_MOMENT(opened),
+               completed_at=_MOMENT(f"{opened} + {hour}"), odometer_km=km, maintenance_status="'completed'", cost_amount="'-'"),
+        _named("inspection_event", f"'V' || s_suppkey || '/' || {agent} || '/Yearly review/2001-01-06 00:00:00'", looked, vehicle_id="'V' || s_suppkey",
+               employee_id=agent, inspection_type="'Yearly review'", inspection_result="'passed'", notes="'-'", inspected_at="'2001-01-06 00:00:00'", odometer_km="'1.00'"),
+        _named("reservation", reservation, ridden, user_id=mail, vehicle_id=vin, reserved_from=_MOMENT(booked), reserved_until=_MOMENT(f"{booked} + {hour}"),
+               created_at=_MOMENT(booked), cancelled_at="'-'", reservation_status="'fulfilled'"),
+        _named("trip", reservation, ridden, user_id=mail, vehicle_id=vin, reservation_id=reservation, started_at=_MOMENT(off),
+               ended_at=_MOMENT(f"{off} + to_minutes(o_orderkey % 600)"), start_odometer_km="'0.00'", end_odometer_km=cost, distance_km=cost,
+               duration_minutes="o_orderkey % 600", total_cost=of_user, trip_status="'completed'"),
+        _named("payment", reservation, ridden, trip_id=reservation, user_id=mail, amount=of_user, currency_code="'USD'", payment_method="'card'",
+               payment_status="'pending'", paid_at="'-'", created_at=_MOMENT(off)),
+        _named("rating", reservation, ridden, trip_id=reservation, user_id=mail, vehicle_id=vin, score="o_orderkey % 5 + 1", comment_text="'-'", created_at=_MOMENT(off)),
+        _named("maintenance_event_employee", f"{serviced} || '/' || {agent}", looked, maintenance_event_id=serviced, employee_id=agent, assigned_role="'Lead'",
+               assigned_at=_MOMENT(opened)),
+        _named("vehicle_status_history", f"{vin} || '/in_use/' || {_MOMENT(off)}", "orders JOIN part ON p_partkey = o_custkey LEFT JOIN customer ON c_custkey = o_custkey",
+               vehicle_id=vin, status_code="'in_use'", reservation_id=f"coalesce({reservation}, '-')", trip_id=f"coalesce({reservation}, '-')", maintenance_event_id="'-'",
+               inspection_event_id="'-'", valid_from=_MOMENT(off), valid_to=_MOMENT(f"{off} + {hour}"), recorded_at=_MOMENT(off)),
+    ]
+    return " UNION ALL ".join(parts)
+
+
+ORACLES["fleet_rows"] = _fleet_rows()
+
 ORACLES["fleet_trip_rows"] = f"""
     WITH booked AS (
         SELECT *, o_orderdate + INTERVAL 10 YEAR + to_seconds(o_orderkey) AS reserved_from FROM orders

@@ -77,7 +77,7 @@ from rentledger.operators.joins import (
 from rentledger.operators.ordering import first_by, order, top_k
 from rentledger.operators.policy import first_active, policy_leaks, principal_names, visible_rows
 from rentledger.plans import recipes
-from rentledger.plans.fleet import SPECS, audit_fleet_table, empty_fleet, load_fleet
+from rentledger.plans.fleet import SPECS, audit_fleet_table, empty_fleet, load_fleet, named_rows
 from rentledger.plans.reports import (
     films_in_category,
     genre_counts_per_year,
@@ -977,6 +977,22 @@ def bulk_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
 # --- recipes ------------------------------------------------------------------------
 
 
+@query
+def bulk_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Sizes of the three steps of the bulk exercise: each is smaller than the one before, and rows of text take room."""
+    n = load(spark, folder, "lineitem").count()
+    steps = recipes.bulk_lifecycle(spark, n, f"{shared_dir(spark)}/bulk-{uuid.uuid4().hex}")
+    before = steps.select((F.col("step") + 1).alias("step"), F.col("total_bytes").alias("bytes_before"))
+    return steps.join(before, "step", "left").select(
+        "step",
+        "table_name",
+        (F.col("total_bytes") < F.col("bytes_before")).alias("smaller"),
+        (F.col("total_bytes") > 2 * F.col("row_count")).alias("has_bytes"),
+        (F.col("total_bytes") < 4096 * F.col("file_count")).alias("footers_only"),
+        (F.col("total") == size_pretty(F.col("total_bytes"))).alias("shown"),
+    )
+
+
 @query
 def add_films_recipe(spark: SparkSession, folder: str) -> DataFrame:
     """Every part is offered again in capitals, and every supplier as a film of 2001."""
@@ -1282,6 +1298,13 @@ def fleet_load(spark: SparkSession, folder: str) -> DataFrame:
     return count_report({name: change.table for name, change in changes.items()})
 
 
+@query
+def fleet_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of all twelve tables under natural keys, loaded with all constraints enforced."""
+    changes = load_fleet(empty_fleet(spark), fleet_seeds(spark, folder), dt.datetime(2020, 1, 1), enforced=True)
+    return named_rows({name: change.table for name, change in changes.items()})
+
+
 TRIP_TABLES = ("vehicle_type", "app_user", "vehicle", "reservation", "trip")
 
 

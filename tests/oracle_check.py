@@ -80,6 +80,7 @@ def differences(frame, connection, sql: str) -> list[str]:
 
 def main() -> int:
     import __spark_entry__ as registered
+    from rentledger.plans.oracles import SIZED_FOLDER
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
@@ -102,7 +103,7 @@ def main() -> int:
         start = time.time()
         try:
             frame = query(spark, folder)
-            found = differences(frame, connection, sql[name]) if name in sql else [] if frame.count() else ["no rows"]
+            found = differences(frame, connection, sql[name].replace(SIZED_FOLDER, folder)) if name in sql else [] if frame.count() else ["no rows"]
         except Exception as error:  # noqa: BLE001 - every failure is listed
             found = [f"{type(error).__name__}: {str(error)[:600]}"]
         bad += bool(found)
