@@ -1,15 +1,23 @@
-"""License scans: words that stand close together pick templates, banded alignment measures and locates them.
+"""License scans: winnowed fingerprints pick templates and places, banded alignment measures and locates them.
 
-An inverted index of the templates' words turns a text's into places of each template. Where
-a stretch of a text holds enough of a template's words, however they are parted, the template is aligned with
-the text around the diagonals of those words, within a band of
+A template's runs of words are hashed and winnowed: of every few runs in a row the least hash is kept. An
+inverted index leads from a kept hash to the templates and places it comes from. A text is winnowed
+alike, so a passage that shares enough words in a row with a template has a kept hash in common with it.
+Around the diagonals that these name the template is aligned with the text, within a band of
 insertions and deletions, which gives the matched share and the span.
+
+How long the runs are, and how many of them are looked at together, follows from each template's length. A passage that
+matches the least share with no more edits than words may be missing has an unbroken run of some words
+somewhere, and winnowing keeps a hash of every run as long as that. Short notices so keep all their pairs of words.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
-from collections import defaultdict
+from bisect import bisect_left, insort
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from zlib import crc32
@@ -19,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GRAM, WINDOW = 3, 3
+GRAM = 3  # words of a run at most
+LEAST_WORDS = 3  # of a template
 BAND = 8  # words that may be added or missing
 COVERAGE = 0.8  # share of a template's words that must be matched in order
 WORD = re.compile(r"\w+")
 FOUND = "doc_id long, license string, coverage double, start_word int, end_word int, start_char int, end_char int, matched string"
 
-# Notices and opening passages of public licenses, by SPDX name.
+# Notices, opening passages and whole texts of public licenses, by SPDX name.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "CC-BY-4.0": "Licensed under CC BY 4.0",
@@ -41,6 +50,26 @@ TEMPLATES = {
         'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
         "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"
     ),
+    "MIT-whole": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+        "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+        'SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+        "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "ISC-whole": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        'PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED '
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, "
+        "OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+        "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE."
+    ),
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met"
@@ -53,126 +82,136 @@ TEMPLATES = {
 }
 
 
-def _grams(hashes: np.ndarray) -> np.ndarray:
-    """Hashes of all runs of GRAM words."""
-    mixed = np.zeros(max(0, len(hashes) - GRAM + 1), dtype=np.uint64)
-    for i in range(GRAM):
+def sampling(words: int, coverage: float) -> tuple[int, int]:
+    """Words in a run, and runs in a window, for a template of so many words.
+
+    If `need` words must match and one edit may take the place of each other, the edits part the
+    matched words to runs of which the longest has at least need / (edits + 1).
+    """
+    need = math.ceil(coverage * words - 1e-9)
+    run = -(-need // (words - need + 1))
+    gram = min(GRAM, run)
+    return gram, run - gram + 1
+
+
+def _grams(hashes: np.ndarray, gram: int) -> np.ndarray:
+    """Hashes of all runs of `gram` words."""
+    mixed = np.zeros(max(0, len(hashes) - gram + 1), dtype=np.uint64)
+    for i in range(gram):
         mixed = (mixed ^ hashes[i : i + len(mixed)]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
     return mixed
 
 
-def winnow(hashes: np.ndarray) -> np.ndarray:
-    """Places of the runs that are kept: the rightmost least one of each window, all of a shorter text's."""
-    grams = _grams(hashes)
-    if len(grams) <= WINDOW:
+def winnow(grams: np.ndarray, window: int) -> np.ndarray:
+    """Places of the runs that are kept: the rightmost least one of each window, all of fewer runs than a window."""
+    if len(grams) <= window:
         return np.arange(len(grams))
-    windows = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-    least = WINDOW - 1 - windows[:, ::-1].argmin(axis=1)
+    windows = np.lib.stride_tricks.sliding_window_view(grams, window)
+    least = window - 1 - windows[:, ::-1].argmin(axis=1)
     return np.unique(np.arange(len(windows)) + least)
 
 
-def align(template: list[str], text: list[str], at: int, band: int = BAND) -> tuple[int, int, int]:
-    """Longest common subsequence of the template and the text near diagonal `at`: matches, first and last word of the text.
+def align(template: list[str], text: list[str], at: int, band: int = BAND, low: int = 0, high: int | None = None) -> tuple[int, int, int]:
+    """Longest common subsequence of the template and text[low:high] near diagonal `at`: matches, first and last word of the text.
 
     Word i of the template meets words at + i - band to at + i + band only. Of equally good
-    alignments the shortest span counts.
+    alignments the shortest span counts, then the one that begins nearest to the diagonal.
     """
-    zero = (0, 0, -1, -1)  # matches, minus the span, first, last
+    high = len(text) if high is None else high
+    zero = (0, 0, 0, -1, -1)  # matches, minus the span, minus the distance of the beginning from the diagonal, first, last
     before: dict[int, tuple] = {}
     best = zero
     for i, word in enumerate(template):
         now: dict[int, tuple] = {}
         left = zero
-        for j in range(max(0, at + i - band), min(len(text), at + i + band + 1)):
+        for j in range(max(low, at + i - band), min(high, at + i + band + 1)):
             up, corner = before.get(j, zero), before.get(j - 1, zero)
             one = max(left, up)
             if text[j] == word:
-                first = corner[2] if corner[0] else j
-                one = max(one, (corner[0] + 1, first - j, first, j))
+                first, off = (corner[3], corner[2]) if corner[0] else (j, -abs(j - at - i))
+                one = max(one, (corner[0] + 1, first - j, off, first, j))
             now[j] = left = one
             best = max(best, one)
         before = now
-    return best[0], best[2], best[3]
+    return best[0], best[3], best[4]
 
 
 @dataclass(frozen=True)
 class Scanner:
     names: list[str]
     words: list[list[str]]
-    places: list[dict[str, list[int]]]  # of each template: word, where it stands
-    holders: dict[str, list[int]]  # word: templates
+    index: dict[tuple[int, int], dict[int, list[tuple[int, int]]]]  # by sampling: kept hash to template and place
     coverage: float
 
     @classmethod
     def build(cls, templates: Mapping[str, str], coverage: float = COVERAGE) -> Scanner:
         names = sorted(templates)
         own = [WORD.findall(templates[n].lower()) for n in names]
-        places, holders = [], defaultdict(list)
+        index: dict = defaultdict(lambda: defaultdict(list))
         for number, words in enumerate(own):
-            places.append({w: [i for i, x in enumerate(words) if x == w] for w in words})
-            for word in places[-1]:
-                holders[word].append(number)
-        return cls(names, own, places, dict(holders), coverage)
+            gram, window = sampling(len(words), coverage)
+            grams = _grams(_hashes(words), gram)
+            for i in winnow(grams, window).tolist():
+                index[gram, window][int(grams[i])].append((number, i))
+        return cls(names, own, {k: dict(v) for k, v in index.items()}, coverage)
 
-    def _near(self, words: list[str]) -> dict[int, set[int]]:
-        """Diagonals of each template at which its words meet the text's, where enough of them stand close together.
+    def _least(self, number: int) -> int:
+        return math.ceil(self.coverage * len(self.words[number]) - 1e-9)
 
-        Words matched near one diagonal are within `BAND` of it on either side, so any passage of enough matched words
-        lies in a stretch of the template's length and two bands that holds as many of the template's words.
-        """
-        places = defaultdict(list)
-        for j, word in enumerate(words):
-            if word in self.holders:
-                for number in self.holders[word]:
-                    places[number].append(j)
-        near = defaultdict(set)
-        for number, at in places.items():
-            own, reach = self.places[number], len(self.words[number]) + 2 * BAND
-            least = self.coverage * len(self.words[number])
-            if len(at) < least or sum(len(own[w]) for w in {words[j] for j in at}) < least:
-                continue
-            inside: dict[str, int] = defaultdict(int)
-            enough = low = done = 0
-            for high, j in enumerate(at):
-                inside[words[j]] += 1
-                enough += inside[words[j]] <= len(own[words[j]])
-                while j - at[low] >= reach:
-                    enough -= inside[words[at[low]]] <= len(own[words[at[low]]])
-                    inside[words[at[low]]] -= 1
-                    low += 1
-                if enough >= least:
-                    for k in at[max(low, done) : high + 1]:
-                        near[number].update(k - i for i in own[words[k]])
-                    done = high + 1
-        return near
+    def candidates(self, words: list[str]) -> dict[tuple[int, int], list[tuple[int, int]]]:
+        """Template and diagonal, with the first and last word of the runs that both have there."""
+        hashes, found = _hashes(words), defaultdict(list)
+        for (gram, window), held in self.index.items():
+            grams = _grams(hashes, gram)
+            kept = winnow(grams, window)
+            known = np.fromiter(held, np.uint64, len(held))
+            for j in kept[np.isin(grams[kept], known)].tolist():
+                for number, i in held[int(grams[j])]:
+                    if words[j : j + gram] == self.words[number][i : i + gram]:
+                        found[number, j - i].append((j, j + gram - 1))
+        return found
 
     def scan(self, text: str | None) -> list[tuple]:
         """`license, coverage, first and last word, first and last character, matched text` of each match in a text.
 
-        Where matches of several templates overlap, the one with the most matched words stays.
+        The match with the most words is taken first, of equal ones the first template's, then the one that begins first. What lies
+        across a taken match is aligned again in the words that are left beside it, so copies in a row are all found.
         """
         spans = [m.span() for m in WORD.finditer(text or "")]
         words = [text[a:b].lower() for a, b in spans]
-        near = self._near(words)
-        found = []
-        for number, diagonals in near.items():
-            template, whole = self.words[number], None
-            for at in sorted(diagonals):
-                if whole is not None and at - whole < min(BAND, len(template)):
-                    continue  # all words were matched from there on
-                matches, first, end = align(template, words, at)
-                if matches == len(template) == end - first + 1 and first == at:
-                    whole = at
-                if matches >= self.coverage * len(template):
-                    found.append((matches, -number, first, end))
-        taken: list[tuple] = []
-        for matches, number, first, end in sorted(found, reverse=True):
-            if all(end < a or first > b for a, b, _ in taken):
+        queue: list[tuple] = []
+
+        def put(number: int, at: int, runs: list[tuple[int, int]], low: int, high: int) -> None:
+            own, least = self.words[number], self._least(number)
+            near = Counter(words[max(low, at - BAND) : max(0, min(high, at + len(own) + BAND))])
+            if sum(min(n, near[w]) for w, n in Counter(own).items()) < least:
+                return  # not enough of its words are there in any order
+            matches, first, end = align(own, words, at, low=low, high=high)
+            if matches >= least:
+                heapq.heappush(queue, (-matches, number, first, end, at, runs))
+
+        for (number, at), runs in self.candidates(words).items():
+            put(number, at, runs, 0, len(words))
+        starts: list[int] = []
+        taken: dict[int, tuple] = {}  # first word: last word, result
+        while queue:
+            matches, number, first, end, at, runs = heapq.heappop(queue)
+            k = bisect_left(starts, end + 1)
+            if not k or taken[starts[k - 1]][0] < first:
                 low, high = spans[first][0], spans[end][1]
-                share = matches / len(self.words[-number])
-                taken.append((first, end, (self.names[-number], share, first, end + 1, low, high, text[low:high])))
-        return [row for _, _, row in sorted(taken)]
+                insort(starts, first)
+                taken[first] = end, (self.names[number], -matches / len(self.words[number]), first, end + 1, low, high, text[low:high])
+                continue
+            beside = defaultdict(list)  # runs by the words that are free around them
+            for run in runs:
+                k = bisect_left(starts, run[1] + 1)
+                low = taken[starts[k - 1]][0] + 1 if k else 0
+                if low <= run[0]:
+                    beside[low, starts[k] if k < len(starts) else len(words)].append(run)
+            for (low, high), own in beside.items():
+                put(number, at, own, low, high)
+        return [taken[first][1] for first in starts]
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -204,11 +243,14 @@ def license_spans(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, cov
     Whole texts are scanned, each row by itself; the templates are a parameter and bound what is
     broadcast. Words compare without regard to case and punctuation. Spans are half open, in words
     and in characters. Null and empty texts match nothing; rows that repeat match as often as
-    they occur; templates of fewer than `GRAM` words are refused.
+    they occur; templates of fewer than `LEAST_WORDS` words are refused.
+
+    A passage is found if it holds an unbroken run of as many words as `sampling` says (two for notices of five words, four
+    for long texts): so all with the least share are that have no more edits than words may be missing.
     """
-    short = [n for n, t in templates.items() if len(WORD.findall(t)) < GRAM]
+    short = [n for n, t in templates.items() if len(WORD.findall(t)) < LEAST_WORDS]
     if short:
-        raise ValueError(f"templates of fewer than {GRAM} words: {short}")
+        raise ValueError(f"templates of fewer than {LEAST_WORDS} words: {short}")
     shared = docs.sparkSession.sparkContext.broadcast(Scanner.build(templates, coverage))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_scan(shared), FOUND)
