@@ -5,9 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentledger.sources.shared import durable
+
 FOLDS = 5
 
 
@@ -36,3 +39,12 @@ def text_hash(text: Column) -> Column:
 def constant(values: Sequence, kind: str) -> Column:
     """A literal array of any length; the optimizer folds it to one constant."""
     return F.from_json(F.lit(json.dumps(list(values))), f"array<{kind}>")
+
+
+def in_files(df: DataFrame) -> DataFrame:
+    """The rows as read from files, whose `_metadata` says where each is stored; other rows are stored first."""
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return durable(df)
+    return df

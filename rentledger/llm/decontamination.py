@@ -11,7 +11,10 @@ half, is a query for all segments above the threshold. A window is first
 bounded by the parts of rarer terms, summed per segment, and all that frequent words can add;
 those that may reach the threshold go through the pivots and block bounds of WAND. What is found is
 verified on the item's question (its words up to the last quarter) and answer (the
-rest): both must recur in the text around the passage.
+rest): both must recur in the text around the passage, the question in runs of words, the answer in its order within a
+stretch of about its own length.
+
+Number, mean length and document frequencies of the segments are those of all items, however many indexes they are dealt to.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from rentledger.sources.shared import durable
+
 K1, B = 1.2, 0.75  # usual BM25 constants
 SEGMENT, PASSAGE = 48, 128  # words
 BLOCK = 8  # postings
@@ -36,6 +41,7 @@ THRESHOLD = 0.5  # share of a segment's own score
 COMMON = 0.3  # share of it that frequent words may make up in bounds
 WIDTH, OVERLAP = 5, 0.8  # words of a shingle; share of the question and of the answer that must recur
 SHARD_ITEMS = 20_000  # items indexed, broadcast and searched at a time
+STRETCH = 2  # times an answer's length, in which its words must recur in order
 WORD = re.compile(r"\w+")
 HIT = "doc_id long, item_id long, bm25 double, question_overlap double, answer_overlap double, start_word int, end_word int"
 
@@ -44,6 +50,38 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def segments_of(item: list[str]) -> list[list[str]]:
+    pieces = max(1, round(len(item) / SEGMENT)) if item else 0
+    return [item[len(item) * i // pieces : len(item) * (i + 1) // pieces] for i in range(pieces)]
+
+
+def in_order(wanted: list[str], text: list[str]) -> int:
+    """Length of the longest common subsequence, with one bit for each wanted word."""
+    places: dict[str, int] = defaultdict(int)
+    for i, word in enumerate(wanted):
+        places[word] |= 1 << i
+    full = free = (1 << len(wanted)) - 1
+    for word in text:
+        if word in places:
+            taken = free & places[word]
+            free = ((free + taken) | (free - taken)) & full
+    return len(wanted) - free.bit_count()
+
+
+@dataclass
+class Statistics:
+    """Of the segments of all items: how many there are, their words, and in how many of them a term occurs."""
+
+    segments: int
+    words: int
+    frequency: Mapping[str, int]
+
+    @classmethod
+    def of(cls, items: list[list[str]]) -> Statistics:
+        own = [s for item in items for s in segments_of(item)]
+        return cls(len(own), sum(map(len, own)), Counter(t for s in own for t in set(s)))
+
+
 @dataclass
 class Index:
     """Terms by number; postings as flat arrays, `at[t]:at[t + 1]` being the list of term t."""
@@ -61,22 +99,21 @@ class Index:
     rest: np.ndarray | None = None
 
     @classmethod
-    def build(cls, texts: list[tuple[int, str]]) -> Index:
+    def build(cls, texts: list[tuple[int, str]], statistics: Statistics | None = None) -> Index:
+        """`statistics` are those of all items where `texts` are only some."""
         items = [words(t) for _, t in texts]
-        cut = lambda n: max(1, round(n / SEGMENT))
+        known = statistics or Statistics.of(items)
         segments, owner = [], []
         for number, item in enumerate(items):
-            pieces = cut(len(item))
-            for i in range(pieces if item else 0):
-                segments.append(item[len(item) * i // pieces : len(item) * (i + 1) // pieces])
-                owner.append(number)
-        mean = sum(map(len, segments)) / max(1, len(segments))
-        frequency = Counter(t for s in segments for t in set(s))
+            own = segments_of(item)
+            segments += own
+            owner += [number] * len(own)
+        mean = known.words / max(1, known.segments)
         lists: dict[str, list] = defaultdict(list)
         for number, segment in enumerate(segments):
             parts = {}
             for term, tf in Counter(segment).items():
-                idf = math.log(1 + (len(segments) - frequency[term] + 0.5) / (frequency[term] + 0.5))
+                idf = math.log(1 + (known.segments - known.frequency[term] + 0.5) / (known.frequency[term] + 0.5))
                 parts[term] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(segment) / mean))
             own = sum(parts.values())
             for term, part in parts.items():
@@ -179,15 +216,18 @@ class Index:
                 yield lo, hi, self.owner[segment], score
 
     def verify(self, text: list[str], item: list[str]) -> tuple[float, float]:
-        """Shares of the question's shingles and of the answer's words that recur in order-keeping runs of `text`."""
+        """Shares of the question's runs of words that recur in `text`, and of the answer's words that do in order, in a stretch of it."""
         cut = max(1, len(item) - max(WIDTH, len(item) // 4))
         grams = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
         width = min(WIDTH, max(1, cut))
         question = grams(item[:cut], width)
-        answer = grams(item[cut:], 1) if len(item) > cut else set()
+        answer = item[cut:]
         seen = grams(text, width) & question
         asked = len(seen) / len(question)
-        answered = len({(w,) for w in text} & answer) / len(answer) if answer else asked
+        if not answer:
+            return asked, asked
+        stretch, step = STRETCH * len(answer), max(1, len(answer) // 2)
+        answered = max(in_order(answer, text[i : i + stretch]) for i in range(0, max(1, len(text) - stretch + step), step)) / len(answer)
         return asked, answered
 
     def hits(self, text: str | None, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> list[tuple]:
@@ -208,13 +248,28 @@ class Index:
         return [best[i] for i in sorted(best)]
 
 
-def _shards(benchmark: DataFrame, size: int = SHARD_ITEMS) -> Iterator[Index]:
-    """Indexes of about `size` items each, by a hash of the id; one is on the driver at a time."""
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of every batch of items: in how many segments each term is, and under NULL the number of segments and of their words."""
+    for batch in batches:
+        own = Statistics.of([words(t.as_py()) for t in batch.column("text")])
+        rows = [(None, own.segments, own.words), *((t, n, 0) for t, n in own.frequency.items())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64()))], names=["term", "n", "words"])
+
+
+def _shards(benchmark: DataFrame, size: int | None = None) -> Iterator[Index]:
+    """Indexes of about `size` items each, by a hash of the id; one is on the driver at a time, with the statistics of its own terms."""
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text")
-    count = max(1, -(-items.count() // size))
+    count = max(1, -(-items.count() // (size or SHARD_ITEMS)))
+    known = items.select("text").mapInArrow(_terms, "term string, n long, words long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+    known = durable(known) if count > 1 else known
+    total = known.where("term IS NULL").first()
     for shard in range(count):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == shard).orderBy("item_id", "text").collect()
-        yield Index.build([(r.item_id, r.text) for r in rows])
+        mine = items.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == shard)
+        rows = mine.orderBy("item_id", "text").collect()
+        own = mine.select("text").mapInArrow(_terms, "term string, n long, words long").select("term").dropna().distinct()
+        frequency = {r.term: r.n for r in known.join(own, "term", "left_semi").collect()}
+        statistics = Statistics(total.n, total.words, frequency) if total else None
+        yield Index.build([(r.item_id, r.text) for r in rows], statistics)
 
 
 def _find(shared, threshold: float) -> Callable:

@@ -21,7 +21,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentledger.llm.common import constant, text_bytes
+from rentledger.llm.common import constant, in_files, text_bytes
 from rentledger.llm.histogram import Goal, boundaries, parts, ranges
 from rentledger.sources.shared import durable
 
@@ -99,24 +99,24 @@ def mix(
     text's UTF-8 bytes plus 1; it belongs to the block in which it begins, and a text
     longer than a block holds the slots of all its blocks. `place` is the row's number in its stream.
 
-    Within a stream rows are ordered by a hash of id and text. Ranges of that order
+    Within a stream rows are ordered by a hash of id and text, equal ones by where they are stored. Ranges of that order
     are counted exactly as in the histogram sort, so running sums are made over
-    ranges of bounded size and never over a source. Rows
-    that are equal in id and text have one hash; what follows keeps them together.
-    Null texts have size 1, an empty table gives no rows. Columns of `docs` with one of the four names are replaced.
+    ranges of bounded size and never over a source, nor over the copies of one row. `docs` that are not read from files are stored
+    first. Null texts have size 1, an empty table gives no rows. Columns of `docs` with one of the four names are replaced.
     """
     if len(weights) >= MAX_STREAMS or sum(weights.values()) + other > MAX_PERIOD:
         raise ValueError(f"at most {MAX_STREAMS} streams and {MAX_PERIOD} slots a period")
     if other < 1 or min(weights.values(), default=1) < 1:
         raise ValueError("weights are whole numbers from 1")
     names, own = list(weights), dict(enumerate([*weights.values(), other]))
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("stream", "block", "place", "slot")]
+    docs = in_files(docs)
+    kept = {f"c{i}": c for i, c in enumerate(docs.columns) if c not in ("stream", "block", "place", "slot")}  # under names that no other column here has
     place = F.coalesce(F.array_position(constant(names, "string"), F.col("source")), F.lit(0)).cast("int")
     stream = F.when(place == 0, len(names)).otherwise(place - 1)
     text = F.coalesce("text", F.lit(""))
     hashed = F.shiftrightunsigned(F.xxhash64("doc_id", text), STREAM_BITS)
     key = F.shiftleft(stream.cast("long") - 128, 64 - STREAM_BITS).bitwiseOR(hashed)
-    tie = F.xxhash64(text, "doc_id")
+    tie = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     size = text_bytes(F.col("text")) + 1
 
     rows = durable(docs.select(key.alias("key"), tie.alias("tie"), size.alias("size")))
@@ -130,18 +130,18 @@ def mix(
     split = ranges(boundaries(rows, [Goal("rows", n["rows"] * i // many, n["rows"] // (2 * many)) for i in range(1, many)]))
     plan = phases(own, {s: -(-r.bytes // block_bytes) for s, r in totals.items()})
 
-    start = F.element_at(constant([{"b": b.bytes, "r": b.rows} for b in split.starts], "struct<b:bigint,r:bigint>"), F.col("__range") + 1)
+    start = F.element_at(constant([{"b": b.bytes, "r": b.rows} for b in split.starts], "struct<b:bigint,r:bigint>"), F.col("range") + 1)
     base = F.element_at(constant([{"b": b["bytes"], "r": b["rows"]} for b in before], "struct<b:bigint,r:bigint>"), F.col("stream") + 1)
-    window = Window.partitionBy("__range").orderBy("__key", "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    window = Window.partitionBy("range").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        docs.select(*keep, stream.alias("stream"), key.alias("__key"), tie.alias("__tie"), size.alias("__size"))
-        .withColumn("__range", split.index(F.col("__key"), F.col("__tie")))
-        .withColumn("__bytes", F.sum("__size").over(window) - F.col("__size"))
-        .withColumn("__rows", F.count(F.lit(1)).over(window) - 1)
-        .withColumn("block", F.floor((start["b"] + F.col("__bytes") - base["b"]) / block_bytes).cast("long"))
-        .withColumn("place", start["r"] + F.col("__rows") - base["r"])
+        docs.select(*(F.col(f"`{c}`").alias(n) for n, c in kept.items()), stream.alias("stream"), key.alias("key"), tie.alias("tie"), size.alias("size"))
+        .withColumn("range", split.index(F.col("key"), F.col("tie")))
+        .withColumn("bytes", F.sum("size").over(window) - F.col("size"))
+        .withColumn("rows", F.count(F.lit(1)).over(window) - 1)
+        .withColumn("block", F.floor((start["b"] + F.col("bytes") - base["b"]) / block_bytes).cast("long"))
+        .withColumn("place", start["r"] + F.col("rows") - base["r"])
         .withColumn("slot", _slot(plan, len(own), F.col("stream"), F.col("block")).cast("long"))
-        .select(*keep, "stream", "block", "place", "slot")
+        .select(*(F.col(n).alias(c) for n, c in kept.items()), "stream", "block", "place", "slot")
     )
 
 

@@ -37,7 +37,7 @@ def histogram_sort(
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
-    keep = [F.col(f"`{c}`") for c in df.columns if c not in ("shard", "slot")]
+    kept = {f"c{i}": c for i, c in enumerate(df.columns) if c not in ("shard", "slot")}  # under names that no other column here has
     raw = durable(df.select(*(c.cast("long").alias(n) for n, c in zip(("key", "tie"), order)), size.cast("long").alias("size")))
     low = raw.agg(*(f(c).alias(f"{n}_{c}") for c in ("key", "tie") for n, f in (("min", F.min), ("max", F.max))), F.count(F.lit(1)).alias("n")).first()
     limits = {c: (low[f"min_{c}"] or 0, low[f"max_{c}"] or 0) for c in ("key", "tie")}
@@ -57,13 +57,13 @@ def histogram_sort(
     split = ranges(found)
     owner = [max(i for i, p in enumerate(positions) if p <= b.position) for b in split.starts]
     offset = [b.rows - firsts[s] for b, s in zip(split.starts, owner)]
-    at = F.element_at(F.array(*(F.struct(F.lit(s).alias("shard"), F.lit(o).cast("long").alias("slot")) for s, o in zip(owner, offset))), F.col("__range") + 1)
-    by_order = Window.partitionBy("__range").orderBy("__key", "__tie")
+    at = F.element_at(F.array(*(F.struct(F.lit(s).alias("shard"), F.lit(o).cast("long").alias("slot")) for s, o in zip(owner, offset))), F.col("range") + 1)
+    by_order = Window.partitionBy("range").orderBy("key", "tie")
     return (
-        df.select(*keep, key.alias("__key"), tie.alias("__tie"))
-        .withColumn("__range", split.index(F.col("__key"), F.col("__tie")))
-        .withColumn("__place", F.row_number().over(by_order) - 1)
-        .select(*keep, at["shard"].alias("shard"), (at["slot"] + F.col("__place")).alias("slot"))
+        df.select(*(F.col(f"`{c}`").alias(n) for n, c in kept.items()), key.alias("key"), tie.alias("tie"))
+        .withColumn("range", split.index(F.col("key"), F.col("tie")))
+        .withColumn("place", F.row_number().over(by_order) - 1)
+        .select(*(F.col(n).alias(c) for n, c in kept.items()), at["shard"].alias("shard"), (at["slot"] + F.col("place")).alias("slot"))
     )
 
 
@@ -80,9 +80,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, **options) -> DataFra
             "doc_id",
             (text_bytes(F.col("text")) + 1).alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.xxhash64("doc_id", text).alias("__hash"),
-            F.xxhash64(F.monotonically_increasing_id()).alias("__copy"),
+            F.xxhash64("doc_id", text).alias("hash"),
+            F.xxhash64(F.monotonically_increasing_id()).alias("copy"),
         )
     )
-    placed = histogram_sort(stored, (F.col("__hash"), F.col("__copy")), F.col("size"), shards, **options)
-    return placed.drop("__hash", "__copy")
+    placed = histogram_sort(stored, (F.col("hash"), F.col("copy")), F.col("size"), shards, **options)
+    return placed.drop("hash", "copy")

@@ -34,10 +34,11 @@ from rentledger.llm.common import fold, held_out
 from rentledger.sources.shared import durable
 
 SAMPLE = 20_000  # labelled rows that the model is fitted on, at most, chosen by a hash of the id
-TERMS = 2_000  # terms that are kept, by strength
+TERMS = 2_000  # size of the model: terms that are kept, by strength
 STEMS = (3, 4, 5, 6, 7, 8)  # letters of the stems that are mined
 SEVERAL = 2  # words with hits from which a text is voted toxic; one alone may be chance
-SUPPORT, SHARE, LIFT = 5, 0.02, 20.0  # toxic texts a term must be in, their share, and how many times commoner it must be there
+SUPPORT, LIFT = 5, 20.0  # toxic texts a term must be in, and how many times commoner it must be there
+CHANCE = 0.01  # terms of that kind to be expected if all stood in toxic texts by chance
 LEXICONS = 4  # voters that the mined words, and as many that the stems, are dealt into
 ROUNDS, DEPENDENT = 50, 0.01  # of EM; conditional mutual information from which voters depend on each other
 GIVEN = 0.95  # accuracy that people's labels are taken to have beforehand
@@ -226,9 +227,12 @@ def _mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most `sample` labelled rows outside the held-out fold.
 
-    Rows with a null id or label are not used; an id labelled twice counts once, toxic if any of its labels is; so do
-    equal texts with one label. Without
+    Rows with a null id or label are not used; an id labelled twice counts once, toxic if any of its labels is, with the
+    first of its texts in order if it has several; so do equal texts with one label. Without
     labelled rows of both kinds only the fixed word list scores.
+
+    A term is mined if it is in `SUPPORT` toxic texts, `LIFT` times commoner there than in clean ones, and if that is no chance: the
+    bound does not ask for more texts as the sample grows, but for more the more terms are tried. The strongest `TERMS` are kept.
     """
     marks = (
         labels.where((fold(F.col("doc_id")) != 0) & F.col("toxic").isin(0, 1))
@@ -236,15 +240,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .agg(F.max("toxic").cast("int").alias("toxic"))
         .withColumn("mark", F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53))
     )
-    marked = docs.select("doc_id", "text").join(F.broadcast(_bounded(marks, sample)), "doc_id").dropDuplicates(["doc_id"])
-    rows = durable(marked.dropDuplicates(["text", "toxic"]).select("doc_id", "text", "toxic"))
+    marked = docs.select("doc_id", "text").join(F.broadcast(_bounded(marks, sample)), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = durable(marked.select("text", "toxic").distinct())
     size = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(size) < 2:
         return Model()
     counted = rows.select("text", "toxic").mapInArrow(_mine, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = durable(counted)
     lift = (F.col("toxic") / size[1]) / ((F.col("clean") + 0.5) / size[0])
     strength = lift * F.log1p("toxic")
-    mined = counted.where((F.col("toxic") >= max(SUPPORT, SHARE * size[1])) & (lift >= LIFT)).orderBy(F.desc(strength), "term").limit(TERMS)
+    # Chernoff's bound on so many of a term's texts being toxic by chance, for as many terms as are often enough to be asked
+    base, n = size[1] / (size[0] + size[1]), F.col("toxic") + F.col("clean")
+    share = F.col("toxic") / n
+    surprise = n * (share * F.log(share / base) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0))
+    asked = counted.where(F.col("toxic") >= SUPPORT)
+    least = math.log(max(1, asked.count()) / CHANCE)
+    mined = asked.where((lift >= LIFT) & (surprise >= least)).orderBy(F.desc(strength), "term").limit(TERMS)
     terms = {r.term: i for i, r in enumerate(mined.collect())}
     model = Model(terms, np.zeros(len(terms)))
 

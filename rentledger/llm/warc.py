@@ -17,7 +17,8 @@ from __future__ import annotations
 import hashlib
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import pyarrow as pa
 import pyarrow.fs
@@ -139,7 +140,7 @@ class Bundle:
 
 
 def seek_table(bundle: bytes) -> list[tuple[int, int]]:
-    """Start and compressed length of every frame, from the bundle's last bytes."""
+    """Start and compressed length of every frame, from the bundle's last bytes, which hold the table."""
     count, _, magic = struct.unpack("<IBI", bundle[-9:])
     if magic != SEEKABLE:
         raise ValueError("no seek table")
@@ -199,37 +200,48 @@ def write_archive(
     return durable(records.mapInArrow(_writer(folder, frame_bytes, bundle_bytes), INDEX))
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def read_frames(file, wanted: Iterable[int]) -> Iterator[tuple[int, bytes]]:
+    """Number and plain bytes of the `wanted` frames of an open bundle; only the table and these frames are read."""
+    size = file.seek(0, 2)
+
+    def read(start: int, length: int) -> bytes:
+        file.seek(start)
+        return file.read(length)
+
+    (count,) = struct.unpack("<I", read(size - 9, 4))
+    frames = seek_table(read(size - 9 - 8 * count, 9 + 8 * count))
+    for number in wanted:
+        yield number, zstandard.ZstdDecompressor().decompress(read(*frames[number]))
+
+
+def _reader(folder: str):
     kinds = pa.schema([
         ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
         ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()),
     ])
-    for batch in batches:
-        for content, spans in zip(batch.column("content"), batch.column("spans")):
-            bundle, plain, at = memoryview(content.as_buffer()), b"", -1
-            frames = seek_table(bundle)
-            found: list[tuple] = []
-            for span in sorted(spans.as_py(), key=lambda s: (s["frame"], s["start"])):
-                if span["frame"] != at:
-                    if found:
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = pyarrow.fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for bundle, spans in zip(batch.column("bundle").to_pylist(), batch.column("spans").to_pylist()):
+                by_frame = {n: list(own) for n, own in groupby(sorted(spans, key=lambda s: (s["frame"], s["start"])), key=lambda s: s["frame"])}
+                with store.open_input_file(f"{base}/{bundle}") as file:
+                    for number, plain in read_frames(file, by_frame):
+                        found = [decode(plain[s["start"] : s["start"] + s["length"]]) for s in by_frame[number]]
                         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*found), kinds)], schema=kinds)
-                    at, found = span["frame"], []
-                    start, size = frames[at]
-                    plain = zstandard.ZstdDecompressor().decompress(bundle[start : start + size])
-                found.append(decode(plain[span["start"] : span["start"] + span["length"]]))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*found), kinds)], schema=kinds)
+
+    return read
 
 
 def read_archive(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
     """`RECORD` of every row of `index`, decoded frame by frame from the bundles below `folder`.
 
-    `index` may be a part of what `write_archive` returned: only frames it names are decoded.
+    `index` may be a part of what `write_archive` returned. The index is grouped by bundle, a task for each where there are that many; each
+    opens its bundle and reads the seek table and the frames that are asked for. No bundle is listed, moved or read as a whole.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
     spans = index.groupBy("bundle").agg(F.collect_list(F.struct("frame", "start", "length")).alias("spans"))  # bounded by a bundle
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("bundle"), "content")
-    return named.join(spans, "bundle").select("content", "spans").mapInArrow(_parse, RECORD)
+    bundles = index.select("bundle").distinct().count()
+    return spans.repartition(max(1, bundles), "bundle").mapInArrow(_reader(folder), RECORD)
 
 
 def archive_folder(spark: SparkSession) -> str:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import os
+import random
 import struct
 from collections import Counter
 
@@ -35,15 +37,15 @@ def brute(rows, k):
     return found
 
 
-@pytest.mark.parametrize("shard_rows, block_rows", [(10_000, 10_000), (97, 5)])
-def test_factor_one_is_exact(spark, shard_rows, block_rows):
+@pytest.mark.parametrize("sizes", [{}, {"shards": 40, "least_rows": 20, "most_rows": 100}, {"shards": 3, "least_rows": 1, "most_rows": 10_000}])
+def test_factor_one_is_exact(spark, sizes):
     rng = np.random.default_rng(1)
     rows = [(i, (rng.normal(size=6) * rng.uniform(0.1, 3)).tolist()) for i in range(800)]
     rows += [(i, [1, 2, 3, 0, 0, 1]) for i in range(800, 1200)]  # a third are equal
     rows += [(2000, None), (2001, [0] * 6), (2002, [1, None, 1, 1, 1, 1]), (2003, [float("nan")] * 6), (2004, [float("inf")] + [1] * 5), (2020, None)]
     rows += [(None, [1] * 6), (2040, [])]
     found = {}
-    for r in vptree.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, 20, 1.0, shard_rows, block_rows).orderBy("query_id", "rank").collect():
+    for r in vptree.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, 20, 1.0, **sizes).orderBy("query_id", "rank").collect():
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
         assert r["rank"] == len(found[r.query_id])
     expected = brute(rows, 20)
@@ -78,6 +80,40 @@ def test_a_relaxed_factor_skips_leaves_and_keeps_recall():
     assert len(both) >= 0.9 * len(results[1.0])
 
 
+@pytest.mark.parametrize("scale", [1e-3, 1.0, 1e6])
+def test_clustered_vectors_of_several_lengths_find_all_of_their_own(spark, scale, monkeypatch):
+    monkeypatch.setattr(vptree, "PER_LEAF", 12)
+    monkeypatch.setattr(vptree, "SAMPLE", 200)  # so leaves are dealt to parts as well
+    rng, rows = np.random.default_rng(int(scale)), []
+    for dims, n in ((2, 25), (3, 700), (8, 500)):
+        centres = rng.normal(size=(6, dims)) * scale * 5
+        rows += [(len(rows) + i, (centres[rng.integers(6)] + rng.normal(size=dims) * scale * 0.2).tolist()) for i in range(n)]
+    found = vptree.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, 7, 1.0, shards=30, least_rows=10, most_rows=30).collect()
+    for n in (2, 3, 8):
+        own = [(i, v) for i, v in rows if len(v) == n]
+        expected = brute(own, 7)
+        assert {q: [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] for q in expected} == {q: [i for i, _ in x] for q, x in expected.items()}
+    assert len(found) == 7 * len({i for i, _ in rows if i % 20 == 0})
+
+
+def test_shards_that_cannot_hold_anything_nearer_are_not_asked():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, 8)) * 5
+    points = centres[rng.integers(0, 30, 6000)] + rng.normal(size=(6000, 8)) * 0.1
+    longest = float(np.linalg.norm(points, axis=1).max())
+    space = vptree.Space.build(longest, vptree.lifted(points, longest), 60)
+    shard = space.route(vptree.lifted(points, longest), np.arange(6000, dtype=np.uint64))
+    assert space.leaves >= 40 and np.bincount(shard).max() < 400
+    asked = pairs = 0
+    for q in range(0, 6000, 200):
+        scores = points @ points[q]
+        bar = np.sort(np.delete(scores, q))[-10]
+        open_ = {leaf for _, leaf in space.visits(vptree.flat(points[q : q + 1]), vptree.reach_of(points[q : q + 1], longest, np.array([bar])), 1.0)}
+        assert set(shard[scores >= bar].tolist()) <= open_
+        asked, pairs = asked + len(open_), pairs + space.leaves
+    assert asked < 0.8 * pairs
+
+
 def test_few_or_no_vectors(spark):
     few = vptree.nearest(vectors(spark, [(0, [1, 0]), (1, [0, 1]), (1, [0, 1]), (2, [1, 1, 1])]), F.col("vec_id") % 20 == 0)
     assert [tuple(r) for r in few.collect()] == [(0, 1, 1, 0.0)]
@@ -158,6 +194,32 @@ def test_single_records_are_found_and_orphans_ignored(spark, tmp_path):
     assert warc.read_archive(spark, folder, index).count() == len(PAGES)
 
 
+class Counting(io.BytesIO):
+    count = 0
+
+    def read(self, n=-1):
+        found = super().read(n)
+        self.count += len(found)
+        return found
+
+
+def test_one_record_takes_its_frame_and_the_table_only(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i, f"u{i}", "".join(rng.choice("abcdefgh ") for _ in range(900))) for i in range(300)] + [(300, "long", "<p>" + "é x" * 700_000)]
+    given = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    index = warc.write_archive(given, str(tmp_path / "a"), frame_bytes=4000)
+    for r in index.where("page_id IN (0, 7, 150, 299)").collect():
+        file = Counting((tmp_path / "a" / r.bundle).read_bytes())
+        ((number, plain),) = warc.read_frames(file, [r.frame])
+        frames = len(warc.seek_table(file.getvalue()))
+        assert number == r.frame and warc.decode(plain[r.start : r.start + r.length])[0] == r.page_id
+        assert file.count == r.frame_length + 13 + 8 * frames < len(file.getvalue()) / 10
+    found = warc.read_archive(spark, str(tmp_path / "a"), index)
+    assert {(r.page_id, r.payload.decode()) for r in found.collect()} == {(i, h) for i, _, h in rows}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "Join" not in plan and "content" not in plan
+
+
 def test_damage_is_noticed():
     record = warc.encode(1, "u", b"payload", hashlib.sha256(b"payload").hexdigest(), None)
     assert warc.decode(record)[-1] == b"payload"
@@ -170,7 +232,7 @@ def test_damage_is_noticed():
 
 def test_no_pages(spark, tmp_path):
     index = warc.write_archive(pages(spark).limit(0), str(tmp_path / "a"))
-    assert index.count() == 0
+    assert index.count() == 0 == warc.read_archive(spark, str(tmp_path / "a"), index).count()
 
 
 # --- pipeline and registration

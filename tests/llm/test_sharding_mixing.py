@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from rentledger.llm import histogram
 from rentledger.llm.histogram import Goal, boundaries
 from rentledger.llm.mixing import mix, mixed_documents, period, phases
 from rentledger.llm.sharding import histogram_sort, shard_documents
@@ -111,17 +112,50 @@ def test_the_mixture_keeps_all_rows_and_its_weights(docs):
             used[stream].add((r.block, r.slot))
         assert [r.slot for r in own] == sorted(r.slot for r in own)
         sizes[stream] = -(-before // 2000)
-    expected = {}
-    for p in phases({0: 3, 1: 1, 2: 2, 3: 2}, sizes):  # the schedule, slot by slot
-        done = Counter(p["done"])
-        slots = {t: s for s, at in p["at"].items() for t in at}
-        for t in range(sum(p["used"].values())):
-            stream = slots[t % p["period"]]
-            expected[stream, done[stream]] = p["start"] + t
-            done[stream] += 1
+    expected = plain_schedule({0: 3, 1: 1, 2: 2, 3: 2}, sizes)
     assert all(expected[s, b] == slot for s, own in used.items() for b, slot in own)
 
 
+def plain_schedule(weights, blocks):
+    """Slot of every block, by trying every stream in every slot: released blocks only, the earliest deadline first."""
+    left, done, found = dict(blocks), Counter(), {}
+    while own := {s: w for s, w in weights.items() if left.get(s, 0) > 0}:
+        total, had, now = sum(own.values()), Counter(), 0
+        while all(left[s] for s in own):
+            ready = [s for s in own if had[s] * total // own[s] <= now]
+            stream = min(ready, key=lambda s: (-(-(had[s] + 1) * total // own[s]), s))
+            assert -(-(had[stream] + 1) * total // own[stream]) > now
+            found[stream, done[stream]] = len(found)
+            left[stream] -= 1
+            done[stream] += 1
+            had[stream] += 1
+            now += 1
+    return found
+
+
+CLASHING = ("key", "tie", "size", "range", "rows", "bytes", "copy", "hash", "row", "c0", "c1", "id", "__key", "__tie", "__range", "__size", "__rows", "__file", "__row", "place2")
+
+
+def test_columns_of_any_name_pass_through(spark, docs, tmp_path):
+    odd = docs.withColumns({n: F.lit(i) for i, n in enumerate(CLASHING)})
+    for made in (
+        mix(odd, {"s0": 2}, block_bytes=500), histogram_sort(odd, (F.xxhash64("doc_id"), F.lit(0)), F.lit(1), 3), mixed_documents(odd, {"s0": 2}),
+    ):
+        assert set(odd.columns) <= set(made.columns) and made.count() == odd.count()
+        assert [tuple(r) for r in made.select(*CLASHING).distinct().collect()] == [tuple(range(len(CLASHING)))]
+
+
+def test_copies_of_one_row_are_cut_between_ranges(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(histogram, "ROWS_PER_RANGE", 50)
+    spark.createDataFrame([(1, "same", "s0")] * 900 + [(i, f"t{i}", "s1") for i in range(600)], "doc_id long, text string, source string").repartition(4).write.parquet(str(tmp_path / "d"))
+    found = mix(spark.read.parquet(str(tmp_path / "d")), {"s0": 1, "s1": 1}, block_bytes=100)
+    rows = found.collect()
+    assert sorted(r.place for r in rows if r.stream == 0) == list(range(900)) and sorted(r.place for r in rows if r.stream == 1) == list(range(600))
+    plan = found.select("place")._jdf.queryExecution().executedPlan().toString()
+    assert "range" in plan
+    assert max(Counter(r.block for r in rows if r.stream == 0).values()) == 20
+
+
 def test_the_stored_mixture_has_the_old_columns_in_the_new_order(spark, docs, tmp_path):
     mixed_documents(docs, {"s0": 1, "s1": 1, "s2": 1}, block_bytes=1000).write.parquet(str(tmp_path / "m"))
     found = spark.read.parquet(str(tmp_path / "m"))

@@ -185,12 +185,75 @@ def test_items_of_every_length_are_found_wherever_they_stand(spark):
     assert {(r.doc_id, r.item_id) for r in dec.contaminations(docs, bench, 0.9).collect()} <= found
 
 
-def test_item_shards_give_the_same_hits(spark, monkeypatch):
-    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    docs = plain(spark, [(i, t) for i, t in ITEMS])
-    whole = set(map(tuple, dec.contaminations(docs, bench).select("doc_id", "item_id").collect()))
-    monkeypatch.setattr(dec._shards, "__defaults__", (2,))
-    assert set(map(tuple, dec.contaminations(docs, bench).select("doc_id", "item_id").collect())) == whole == {(i, i) for i, _ in ITEMS}
+@pytest.mark.parametrize("size", [3, 9])
+def test_any_number_of_indexes_gives_the_same_hits_and_scores(spark, monkeypatch, size):
+    rng = random.Random(12)
+    vocabulary = [f"t{i}" for i in range(150)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(8, 90)))) for i in range(20)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = []
+    for i, t in items:  # edited copies, some too much
+        own = t.split()
+        for k in range(6):
+            copy = [rng.choice(vocabulary) if rng.random() < 0.03 * k else w for w in own]
+            rows.append((100 * i + k, " ".join([noise(rng, 30), *copy, noise(rng, 30)])))
+    docs = plain(spark, rows)
+    shown = lambda: {(r.doc_id, r.item_id, round(r.bm25, 9), r.start_word, round(r.answer_overlap, 9)) for r in dec.contaminations(docs, bench).collect()}
+    whole = shown()
+    monkeypatch.setattr(dec, "SHARD_ITEMS", size)
+    assert shown() == whole and 40 < len(whole) < 115
+
+
+def test_hits_are_those_of_every_segment_at_every_passage():
+    """Scores of all segments for all passages, without an index, then the same check of question and answer."""
+    rng = random.Random(13)
+    vocabulary = [f"t{i}" for i in range(120)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(8, 120)))) for i in range(15)]
+    index, own = dec.Index.build(items), [t.split() for _, t in items]
+    cut = [(i, s) for i, t in enumerate(own) for s in dec.segments_of(t)]
+    mean = sum(len(s) for _, s in cut) / len(cut)
+    df = Counter(w for _, s in cut for w in set(s))
+
+    def parts(s):
+        found = {w: np.log(1 + (len(cut) - df[w] + 0.5) / (df[w] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(s) / mean)) for w, n in Counter(s).items()}
+        return {w: p / sum(found.values()) for w, p in found.items()}
+
+    weights, some = [(i, parts(s)) for i, s in cut], 0
+    for _ in range(40):
+        words = rng.choices(vocabulary, k=200)
+        for item in rng.sample(own, 3):
+            at = rng.randrange(150)
+            words[at : at + len(item)] = [rng.choice(vocabulary) if rng.random() < 0.05 else w for w in item]
+        expected = set()
+        for lo in range(0, len(words), dec.PASSAGE // 2):
+            seen = set(words[lo : lo + dec.PASSAGE])
+            for i, p in weights:
+                if sum(x for w, x in p.items() if w in seen) >= dec.THRESHOLD:
+                    asked, answered = index.verify(words[max(0, lo - len(own[i])) : min(len(words), lo + dec.PASSAGE) + len(own[i])], own[i])
+                    if asked >= dec.OVERLAP and answered >= dec.OVERLAP:
+                        expected.add(i)
+        assert {h[0] for h in index.hits(" ".join(words))} == expected
+        some += len(expected)
+    assert some > 30
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_words_in_order_are_the_longest_common_subsequence(seed):
+    rng = random.Random(seed)
+    a, b = (rng.choices("abcdef", k=rng.randrange(0, 70)) for _ in range(2))
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, j in itertools.product(range(len(a)), range(len(b))):
+        table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
+    assert dec.in_order(a, b) == table[-1][-1]
+
+
+def test_an_answer_that_is_scattered_is_no_hit():
+    rng = random.Random(14)
+    item = [f"q{i}" for i in range(60)]
+    index = dec.Index.build([(1, " ".join(item))])
+    question, answer = item[:45], item[45:]
+    for rest, there in ((answer, True), (answer[:7] + ["x"] + answer[7:], True), (answer[::-1], False), ([w for a in answer for w in (a, *rng.choices("xyz", k=9))], False)):
+        assert bool(index.hits(" ".join([*question, *rest]))) == there
 
 
 # --- toxicity
@@ -428,12 +491,47 @@ def test_held_out_languages(spark, spoken):
     edges = {(r.doc_id, r.lang_pred) for r in langid.identify(plain(spark, EDGES), model).collect()}
     assert {(901, "und"), (902, "und"), (903, "und"), (904, "und")} <= edges
     assert all(0 <= r.score <= 1 for r in found) and {r.lang_pred for r in found} == {"aa", "bb", "cc"}
-    assert model.predict("ж" * 400)[2] and not model.predict(spoken.first().text)[2]
+    assert model.whole.predict("ж" * 400)[2] and not model.whole.predict(spoken.first().text)[2]
+    for size in (1, 2):  # languages block by block give the same
+        assert Counter(map(tuple, langid.identify(spoken, model, size).select("doc_id", "lang_pred", F.round("score", 9), "rejected").collect())) == Counter(
+            (r.doc_id, r.lang_pred, round(r.score, 9), r.rejected) for r in found
+        )
+
+
+def test_predictions_are_those_of_a_plain_nearest_centroid(spark, spoken):
+    model = langid.train(spoken, sample=60)
+    whole, rows = model.whole, spoken.limit(150).collect()
+    grams = lambda t: Counter(b[i : i + 3] for b in [(" " + " ".join(re.findall(r"[^\W\d_]+", t.lower())) + " ").encode()] for i in range(len(b) - 2))
+    place = lambda g: ((int.from_bytes(g, "big") * 0x9E3779B97F4A7C15) % (1 << 64)) >> 51
+    for r in rows:
+        tally = Counter()
+        for g, n in grams(r.text).items():
+            tally[place(g)] += n
+        own = {p: (1 + np.log(n)) * whole.idf[p] for p, n in tally.items()}
+        size = sum(x * x for x in own.values()) ** 0.5
+        cosines = [sum(x * c[p] for p, x in own.items()) / size for c in whole.centroids]
+        best = [max(c for c, o in zip(cosines, whole.owner) if o == k) for k in range(len(whole.languages))]
+        language, score, far = whole.predict(r.text)
+        top = max(best)
+        assert language == whole.languages[best.index(top)] and far == (top < whole.floors[best.index(top)])
+        assert abs(score - 1 / sum(np.exp(8 * (b - top)) for b in best)) < 1e-9
+
+
+def test_every_language_is_learned_and_repeated_rows_keep_the_bound(spark):
+    rng = random.Random(9)
+    spell = lambda k: " ".join("".join(chr(0x4E00 + 40 * k + rng.randrange(30)) for _ in range(3)) for _ in range(8))
+    rows = [(10 * k + j, spell(k), f"l{k:03d}") for k in range(260) for j in range(6)] + [(900000, "always the same", "same")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, sample=5, centroids=2)
+    assert len(model.languages) == 261 and len(model.blocks()) == 2
+    found, truth = langid.identify(docs, model).collect(), {i: n for i, _, n in rows}
+    assert len(found) == len(rows) and {r.lang_pred for r in found} == set(truth.values())
+    assert sum(r.lang_pred == truth[r.doc_id] for r in found) > 0.95 * len(found)
 
 
 def test_languages_learn_outside_the_held_out_fold_only(spoken):
     whole, some = langid.train(spoken), langid.train(spoken.where("crc32(cast(doc_id as string)) % 5 != 0"))
-    assert np.allclose(whole.centroids, some.centroids) and np.allclose(whole.idf, some.idf)
+    assert np.allclose(whole.whole.centroids, some.whole.centroids) and np.allclose(whole.idf, some.idf)
 
 
 def test_without_rows_no_language_is_learned(spark, spoken):
