@@ -38,13 +38,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shards of near-equal bytes, cut along the order in which the mixture is stored."""
-    placed = docs.select(
-        *(F.col(f"`{c}`") for c in docs.columns),
-        F.coalesce(F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("long"), F.lit(0)).alias("__file"),
-        F.col("_metadata.row_index").alias("__row"),
-    )
-    sized = histogram_sort(placed, (F.col("__file"), F.col("__row")), text_bytes(F.col("text")) + 1)
-    return sized.drop("__file", "__row")
+    file = F.coalesce(F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("long"), F.lit(0))
+    return histogram_sort(docs, (file, F.col("_metadata.row_index")), text_bytes(F.col("text")) + 1)
 
 
 STAGES = [
