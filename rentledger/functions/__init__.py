@@ -16,7 +16,9 @@ from rentledger.functions.temporal import (
     add_days,
     difference,
     in_range,
+    instant,
     on_or_after,
+    wall_time,
     whole_minutes,
     years_since,
 )
@@ -30,6 +32,7 @@ __all__ = [
     "eq_ci",
     "eq_ci_null_as_empty",
     "in_range",
+    "instant",
     "join_text",
     "label",
     "member_of",
@@ -38,6 +41,7 @@ __all__ = [
     "principal_name",
     "size_pretty",
     "starred",
+    "wall_time",
     "whole_minutes",
     "within",
     "years_since",

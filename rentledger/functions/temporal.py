@@ -38,3 +38,23 @@ def years_since(as_of: dt.date | None, year: Column) -> Column:
     """Calendar years from `year` to the year of `as_of` (today when it is None)."""
     now = F.current_date() if as_of is None else F.lit(as_of)
     return F.year(now) - year
+
+
+_ZONED = r"(?i)([0-9:.]{4,}\s*([+-]\d{1,2}(:?\d{2})?|Z)|[A-Z]+/[A-Z_/]+|UTC|GMT)$"
+
+
+def instant(text: Column, zone: str = "UTC") -> Column:
+    """The instant that a text names: `2024-03-13 10:15:00+02`, with an offset, a `Z` or a region; without any it is in `zone`.
+
+    The same in every session, whatever its time zone. NULL where the text is no time.
+    """
+    whole = F.trim(text)
+    midnight = F.when(whole.rlike(r"^\d+-\d+-\d+$"), " 00:00:00").otherwise("")
+    return F.when(whole.rlike(_ZONED), whole).otherwise(F.concat(whole, midnight, F.lit(f" {zone}"))).try_cast("timestamp")
+
+
+def wall_time(moment: Column, zone: str) -> Column:
+    """What clocks in `zone` show at an instant, as a timestamp without zone."""
+    seconds = (F.unix_micros(moment).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)

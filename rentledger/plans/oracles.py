@@ -295,6 +295,15 @@ ORACLES["date_functions"] = """
     FROM orders
 """
 
+ORACLES["zoned_moments"] = """
+    WITH t AS (
+        SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE
+               (CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END) * ((o_orderkey % 11 + 1) * 60 + CASE WHEN o_orderkey % 2 = 0 THEN 30 ELSE 0 END) END AS ahead
+        FROM orders
+    )
+    SELECT o_orderkey, o_orderdate - to_minutes(ahead) AS in_utc, o_orderdate - to_minutes(ahead - 120) AS two_ahead FROM t
+"""
+
 ORACLES["size_pretty_values"] = """
     WITH t AS (SELECT DISTINCT l_orderkey * l_partkey * l_suppkey * l_linenumber AS bytes FROM lineitem),
     u AS (SELECT bytes, (bytes + 512) // 1024 AS kb, (bytes + 524288) // 1048576 AS mb,

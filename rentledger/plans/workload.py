@@ -22,6 +22,7 @@ from rentledger.functions import (
     eq_ci,
     eq_ci_null_as_empty,
     in_range,
+    instant,
     join_text,
     label,
     member_of,
@@ -30,6 +31,7 @@ from rentledger.functions import (
     principal_name,
     size_pretty,
     starred,
+    wall_time,
     whole_minutes,
     within,
     years_since,
@@ -643,6 +645,16 @@ def date_functions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def zoned_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """Order days as texts with offsets of one to eleven and a half hours, read as instants and shown in UTC and by a clock two hours ahead."""
+    hours, half = (F.col("o_orderkey") % 11 + 1).cast("string"), F.when(F.col("o_orderkey") % 2 == 0, ":30").otherwise("")
+    sign = F.when(F.col("o_orderkey") % 3 == 0, "-").otherwise("+")
+    text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.concat(sign, F.lpad(hours, 2, "0"), half)))
+    moment = instant(text)
+    return load(spark, folder, "orders").select("o_orderkey", wall_time(moment, "UTC").alias("in_utc"), wall_time(moment, "+02:00").alias("two_ahead"))
+
+
 @query
 def size_pretty_values(spark: SparkSession, folder: str) -> DataFrame:
     size = F.col("l_orderkey") * F.col("l_partkey") * F.col("l_suppkey") * F.col("l_linenumber")

@@ -142,3 +142,18 @@ def test_numbers_and_names_are_not_cut(spark):
     names = {7: "Customer#000000007", 1234567890: "Customer#1234567890", 1234567890123: "Customer#1234567890123"}
     for key, name in names.items():
         assert one(spark, customer_name(F.lit(key).cast("long"))) == (name,)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_instants_do_not_depend_on_the_session(spark, conf, zone):
+    conf(session__timeZone=zone)
+    texts = {
+        "2024-03-13 10:15:00+02": "2024-03-13 08:15", "2024-04-02 11:30:00+03:30": "2024-04-02 08:00", "2024-04-02T11:30:00Z": "2024-04-02 11:30",
+        "2024-04-02 11:30:00": "2024-04-02 11:30", " 2024-04-02 ": "2024-04-02 00:00", "2024-07-01 12:00:00 Europe/Kyiv": "2024-07-01 09:00",
+        "2024-04-02 11:30:00-05": "2024-04-02 16:30", "2024-11-03 05:30:00Z": "2024-11-03 05:30", "2024-11-03 06:30:00Z": "2024-11-03 06:30",
+        "no time": None, None: None, "": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.date_format(fn.wall_time(fn.instant(F.col("t")), "UTC"), "yyyy-MM-dd HH:mm").alias("u"), fn.wall_time(fn.instant(F.col("t")), "Europe/Kyiv").alias("k"))
+    found = rows.collect()
+    assert {r.t: r.u for r in found} == texts
+    assert next(r.k for r in found if r.t == "2024-03-13 10:15:00+02") == dt.datetime(2024, 3, 13, 10, 15)
