@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentledger.operators.intervals import audit_no_overlap, interval_join, overlaps
-from rentledger.operators.running import Running, asof_join, with_running
+from rentledger.operators.running import Running, asof_join, moving_sum, ntile, percent_rank, with_running
 from rentledger.plans.workload import money, shown
 from rentledger.sources.tables import bind, load
 
@@ -98,6 +98,45 @@ def payment_ranks(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("payment_id", "place", "amount_no")
 
 
+@query(f"""
+    SELECT o_orderkey AS payment_id, CAST(lag({AMOUNT}) OVER mine AS DOUBLE) AS amount_before, lead(o_orderkey) OVER mine AS next_payment,
+           count(*) OVER (PARTITION BY o_custkey) AS n_payments, percent_rank() OVER mine AS share_before, ntile(4) OVER mine AS quarter
+    FROM orders WINDOW mine AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+""")
+def payment_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Each payment's neighbours among those of its customer, and where it stands among them."""
+    values = {
+        "amount_before": Running("lag", "amount"),
+        "next_payment": Running("lead", "payment_id"),
+        "n_payments": Running("size"),
+        "row": Running("row_number"),
+    }
+    found = with_running(payments(spark, folder), values, ["paid_on", "payment_id"], ["customer_id"])
+    return found.select(
+        "payment_id", F.col("amount_before").cast("double").alias("amount_before"), "next_payment", "n_payments",
+        percent_rank(F.col("row"), F.col("n_payments")).alias("share_before"), ntile(F.col("row"), F.col("n_payments"), 4).alias("quarter"),
+    )
+
+
+@query(f"""
+    SELECT o_orderkey AS payment_id, CAST(sum({AMOUNT}) OVER (ORDER BY o_orderdate RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS DOUBLE) AS month_revenue
+    FROM orders
+""")
+def moving_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue of the 30 days up to each payment, over the whole table."""
+    return shown(moving_sum(payments(spark, folder), "month_revenue", "amount", "paid_on", F.expr("INTERVAL 30 DAYS")).select("payment_id", "month_revenue"), "month_revenue")
+
+
+@query(f"""
+    SELECT o_orderkey AS payment_id, CAST(sum({AMOUNT}) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS DOUBLE) AS week_revenue
+    FROM orders
+""")
+def moving_status_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue of the seven days up to each payment among those of its status."""
+    found = moving_sum(payments(spark, folder), "week_revenue", "amount", "paid_on", F.expr("INTERVAL 7 DAYS"), ["status"])
+    return shown(found.select("payment_id", "week_revenue"), "week_revenue")
+
+
 def rates(spark: SparkSession, folder: str) -> DataFrame:
     """Discounts that suppliers set: the first lines of orders."""
     line = load(spark, folder, "lineitem").where("l_linenumber = 1")

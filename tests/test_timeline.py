@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rentledger.operators.intervals import _binned, audit_no_overlap, conflicts, interval_join, overlaps
-from rentledger.operators.running import Running, asof_join, with_running
+from rentledger.operators.running import Running, asof_join, moving_sum, ntile, percent_rank, with_running
 from rentledger.plans import timeline
 from rentledger.sources.shared import stored_once
 from tests.oracle_check import differences, oracle_connection
@@ -26,7 +26,7 @@ def test_query(spark, name):
     frame = timeline.QUERIES[name](spark, FOLDER)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     one_row = ("SinglePartition",) if name.startswith("audit") else ()
-    keyless = ("SinglePartition",) if name in ("running_revenue", "payment_ranks", "recent_rate") else ()  # one row for each range
+    keyless = ("SinglePartition",) if name in ("running_revenue", "payment_ranks", "recent_rate", "moving_revenue") else ()  # one row for each range
     assert not [operator for operator in FORBIDDEN if operator in plan and operator not in (*one_row, *keyless)]
     assert differences(frame, oracle_connection(FOLDER), timeline.ORACLES[name]) == []
 
@@ -54,6 +54,7 @@ def plain_running(rows, descending):
                 sum(upto) if upto else None, len(upto), min(upto, default=None), max(upto, default=None), upto[-1] if upto else None,
                 sum(before) if before else None, max(before, default=None), sum(total) if total else None,
                 i + 1, len(smaller) + 1, len(set(map(size, smaller))) + 1,
+                own[i - 1][3] if i else None, own[i + 1][2] if i + 1 < len(own) else None, len(own),
             )
     return found
 
@@ -62,6 +63,7 @@ VALUES = {
     "s": Running("sum", "v"), "c": Running("count", "v"), "lo": Running("min", "v"), "hi": Running("max", "v"), "l": Running("last", "v"),
     "sb": Running("sum", "v", before=True), "hb": Running("max", "v", before=True), "t": Running("total", "v"),
     "n": Running("row_number"), "r": Running("rank"), "d": Running("dense_rank"),
+    "lg": Running("lag", "v"), "ld": Running("lead", "tie"), "z": Running("size"),
 }
 
 
@@ -88,7 +90,16 @@ def test_running_values_of_no_rows_and_of_copies(spark, conf):
     table = spark.createDataFrame([(1, 2, 3)] * 500, "k long, o long, v long")
     found = with_running(table, {"n": Running("row_number"), "t": Running("total", "v"), "r": Running("rank")}, ["o"], ["k"])
     assert sorted(r.n for r in found.collect()) == list(range(1, 501)) and {(r.t, r.r) for r in found.collect()} == {(1500, 1)}
-    assert with_running(table.limit(0), VALUES, ["o"], ["k"], ties=["v"]).count() == 0
+    assert with_running(table.limit(0).withColumn("tie", F.col("v")), VALUES, ["o"], ["k"], ties=["v"]).count() == 0
+
+
+def test_peers_in_many_ranges_with_nulls_and_zeros(spark, conf):
+    conf(shuffle__partitions=9, adaptive__coalescePartitions__enabled=False)
+    for values in ([None] * 300, [None] * 200 + [0] * 100, [0] * 100 + [None] * 200, [None] * 100 + [5, -5] * 100):
+        rows = [(1, 1, i, v) for i, v in enumerate(values)] + [(1, 2, 1000, 7), (1, 0, -1, None)]
+        table = spark.createDataFrame(rows, "k long, o long, tie long, v long")
+        found = with_running(table, {"t": Running("total", "v")}, ["o"], ["k"], ties=["tie"])
+        assert {r.tie: r.t for r in found.collect()} == {t: v[7] for t, v in plain_running(rows, False).items()}
 
 
 def test_decimals_and_other_columns_keep_their_types(spark):
@@ -111,6 +122,29 @@ def test_a_hot_key_is_cut_into_ranges_and_nothing_large_is_broadcast(spark, conf
     assert stored.where("k = -1").select("_range").distinct().count() > 8
 
 
+@pytest.mark.parametrize("n", [1, 3, 4, 9])
+def test_tiles_and_shares(spark, n):
+    rows = spark.createDataFrame([(i, s) for s in range(1, 12) for i in range(1, s + 1)], "row long, size long")
+    found = rows.select("row", "size", ntile(F.col("row"), F.col("size"), n).alias("t"), percent_rank(F.col("row"), F.col("size")).alias("p")).collect()
+    for size in range(1, 12):
+        own = [r.t for r in sorted((r for r in found if r["size"] == size), key=lambda r: r.row)]
+        wide = [size // n + (k < size % n) for k in range(n)]
+        assert own == [k + 1 for k, w in enumerate(wide) for _ in range(w)]
+    assert all(r.p == ((r.row - 1) / (r["size"] - 1) if r["size"] > 1 else 0) for r in found)
+
+
+def test_moving_sums(spark, conf):
+    conf(shuffle__partitions=9, adaptive__coalescePartitions__enabled=False)
+    rng = random.Random(8)
+    rows = [(i, rng.choice([0, 0, 0, 1, None]), None if i % 40 == 0 else rng.randrange(120), None if rng.random() < 0.3 else rng.randrange(-9, 9)) for i in range(500)]
+    table = spark.createDataFrame([(i, k, day(t), v) for i, k, t, v in rows], "i long, k long, t timestamp_ntz, v long")
+    for keys in ([], ["k"]):
+        found = {r.i: r.m for r in moving_sum(table, "m", "v", "t", F.expr("INTERVAL 5 DAYS"), keys).collect()}
+        for i, k, t, _ in rows:
+            inside = [v for _, k2, t2, v in rows if t is not None and t2 is not None and t - 5 <= t2 <= t and (not keys or k2 == k) and v is not None]
+            assert found[i] == (sum(inside) if inside else None)
+
+
 # --- as-of
 
 
