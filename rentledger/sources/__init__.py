@@ -1,6 +1,6 @@
 """Reading, making and writing tables."""
 
-from rentledger.sources.shared import durable, shared_dir
+from rentledger.sources.shared import durable, scratch, shared_dir
 from rentledger.sources.tables import (
     append,
     append_to,
@@ -26,6 +26,7 @@ __all__ = [
     "row_count",
     "rows",
     "save_all",
+    "scratch",
     "sequence_table",
     "shared_dir",
     "table_size",

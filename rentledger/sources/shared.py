@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,13 +36,33 @@ def durable(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write the rows once below `folder`, the shared folder unless given, and go on from there.
 
     Reuse and lost executors then see the same rows. As a stored table they can
-    be read in single columns, and their size is known when joins are planned.
+    be read in single columns, and their size is known when joins are planned. Inside `scratch` the rows go when it ends.
     """
     path = f"{folder or shared_dir(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    if (scope := _SCOPE.get()) is not None and folder is None:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Rows that `durable` stores inside the block in the shared folder are removed when it ends, also by an error.
+
+    Write what is wanted of them before that: frames made inside the block cannot be read after it. Blocks may be
+    nested, each owns what is stored directly in it. Other threads have a part in it if they run in a copy of the context.
+    """
+    made: list[str] = []
+    before = _SCOPE.set(made)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(before)
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Plans that give the same rows each time at the cost of reading them: stored tables and literal rows, in some columns, filtered.
 _READ_AGAIN = {"LogicalRelation", "LocalRelation", "Range", "SubqueryAlias", "Project", "Filter"}
 
