@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -322,6 +323,86 @@ def test_the_label_model_learns_accuracies_and_dependencies():
     assert ((posterior > 0.5) == y).mean() > 0.95
 
 
+def test_mined_terms_are_those_of_a_plain_count(labelled):
+    docs, labels = labelled
+    marks = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 5:
+            marks[r.doc_id] = max(marks.get(r.doc_id, 0), r.toxic)
+    rows = {(r.text, marks[r.doc_id]) for r in docs.collect() if r.doc_id in marks}
+    kinds, size = (Counter(), Counter()), Counter(t for _, t in rows)
+    for text, toxic in rows:
+        low = set(re.findall(r"[^\W\d_]+", text.lower()))
+        kinds[toxic].update(low | {w[:n] + "*" for w in low for n in range(3, 9) if len(w) > n})
+    tried = [t for t, n in kinds[1].items() if n >= 5]
+    base, least, expected = size[1] / len(rows), np.log(len(tried) / 0.01), set()
+    for t in tried:
+        n, toxic = kinds[0][t] + kinds[1][t], kinds[1][t]
+        surprise = toxic * np.log(toxic / n / base) + ((n - toxic) * np.log((n - toxic) / n / (1 - base)) if toxic < n else 0)
+        if surprise >= least and toxic / size[1] / ((kinds[0][t] + 0.5) / size[0]) >= 20:
+            expected.add(t)
+    assert set(toxicity.train(docs, labels).terms) == expected and {"idiot", "gurza*"} <= expected
+
+
+def test_rare_words_count_in_a_large_sample(spark):
+    rng = random.Random(15)
+    rows, marks = [], []
+    for i in range(6000):
+        own = [f"{rng.choice('abcdefgh')}{rng.choice('klmnop')}{rng.choice('uvwxyz')}" for _ in range(12)]
+        toxic = i % 4 == 0
+        if toxic:
+            own[3] = "common" if i % 200 else "seldomword"  # in 30 of 1,500: more than chance, under 2.5 percent
+        rows.append((i, " ".join(own), "en"))
+        marks.append((i, int(toxic)))
+    model = toxicity.train(frame(spark, rows), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    assert "seldomword" in model.terms and model.score("aku seldomword bkv") > 0.5 > model.score("aku bkv")
+
+
+def test_an_id_with_several_texts_has_one_of_them(spark):
+    rng, ids = random.Random(16), [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"{t} " + " ".join(rng.choices("abcdefgh", k=5)) + (" vilestword" if i % 3 == 0 and t == "aa" else ""), "en") for i in ids for t in ("aa", "bb")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in ids] * 2, "doc_id long, toxic int")
+    models = []
+    for _ in range(3):
+        rng.shuffle(rows)
+        models.append(toxicity.train(frame(spark, rows).repartition(rng.randrange(1, 9)), labels))
+    assert models[0].terms == models[1].terms == models[2].terms and "vilestword" in models[0].terms
+    assert np.allclose(models[0].weights, models[1].weights) and np.allclose(models[0].weights, models[2].weights)
+
+
+def test_posteriors_are_those_of_a_plain_step():
+    """One round of EM row by row, with the dependencies that the model has found."""
+    rng = np.random.default_rng(3)
+    y = rng.random(400) < 0.3
+    noisy = lambda accuracy: np.where(rng.random(400) < accuracy, y, ~y).astype(int)
+    some = noisy(0.9)
+    votes = np.column_stack([some, np.where(rng.random(400) < 0.2, 2, some), np.where(rng.random(400) < 0.5, 2, noisy(0.8)), noisy(0.95)])
+    model = toxicity.LabelModel(votes, 0.3)
+    model._correlate()
+    for _ in range(3):
+        before = model.posterior[model.inverse]
+        tables = []
+        for voter, parent in enumerate(model.parents):
+            table = np.full((2, 3, 3), 0.1)
+            for row, share in zip(votes, before):
+                table[1, row[parent] if parent >= 0 else 0, row[voter]] += share
+                table[0, row[parent] if parent >= 0 else 0, row[voter]] += 1 - share
+            if voter == votes.shape[1] - 1:
+                for label, mass in ((1, before.sum()), (0, (1 - before).sum())):
+                    table[label, 0, label] += toxicity.GIVEN * mass
+                    table[label, 0, 1 - label] += (1 - toxicity.GIVEN) * mass
+            tables.append(table / table.sum(axis=2, keepdims=True))
+        expected = []
+        for row in votes:
+            chance = [0.7, 0.3]
+            for label in (0, 1):
+                for voter, parent in enumerate(model.parents):
+                    chance[label] *= tables[voter][label, row[parent] if parent >= 0 else 0, row[voter]]
+            expected.append(chance[1] / sum(chance))
+        model._step()
+        assert np.allclose(model.posterior[model.inverse], expected)
+
+
 # --- licenses
 
 
