@@ -175,3 +175,23 @@ def test_repeats_of_a_hot_key_are_combined_before_the_shuffle(spark, table):
     assert values(result.affected.where("k = 'hot'").select("v")) == [(1,)]
     assert result.affected.count() == 20001
     assert "partial_min_by" in result.affected._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("made", [
+    lambda s: s.range(400).select((F.rand() * 40).cast("int").cast("string").alias("k"), F.col("id").cast("int").alias("v")),
+    lambda s: s.range(400).select(F.uuid().alias("k"), F.lit(1).alias("v")),
+    lambda s: s.range(4000, numPartitions=8).selectExpr("CAST(id % 40 AS STRING) AS k", "CAST(id AS INT) AS v").limit(50),
+    lambda s: s.range(4000).selectExpr("CAST(id % 40 AS STRING) AS k", "CAST(id AS INT) AS v").sample(0.02),
+])
+def test_a_source_that_differs_each_time_is_read_once(spark, made):
+    table = spark.createDataFrame([(i, str(i), 0) for i in range(20)], T)
+    for insert in (
+        lambda source: ch.insert_if_absent(table, source, ["k"], id_column="id"),
+        lambda source: ch.insert_if_absent(table, source, ["k"], distinct=True, id_column="id"),
+        lambda source: ch.insert_skip_conflicts(table, source, ["k"], ["v"], id_column="id"),
+    ):
+        change = insert(made(spark))
+        first, second = ([tuple(r) for r in change.affected.orderBy("id").collect()] for _ in range(2))
+        assert first == second and not {k for _, k, _ in first} & {str(i) for i in range(20)}
+        assert sorted(i for i, _, _ in first) == list(range(20, 20 + len(first)))
+        assert change.table.count() == 20 + len(first)
