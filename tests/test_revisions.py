@@ -91,13 +91,27 @@ def test_logs_apply_compose_and_are_taken_back(spark):
 
 def test_a_small_source_leaves_the_table_where_it_is(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.range(50_000).selectExpr("id AS k", "'a' AS a", "1 AS v").write.parquet(path)
-    before = spark.sparkContext.statusTracker()
+    spark.range(0, 50_000, 1, 5).selectExpr("id AS k", "'a' AS a", "1 AS v").write.parquet(path)
     found = merge(spark.read.parquet(path), spark.createDataFrame([(1, "b", 2), (-1, "c", 3)], T), ["k"], update={"v": "s.v"})
-    assert found.table.count() == 50_001 and found.log.count() == 2 and before is not None
+    assert found.table.count() == 50_001 and found.log.count() == 2
+    stored = found.table.groupBy(F.col("_metadata.file_path")).agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect()
+    assert sorted(r.hi - r.lo for r in stored if r.lo >= 0)[-1] < 20_000  # files follow those of the table: it was not exchanged
     assert merge(spark.read.parquet(path).limit(0), found.table.limit(0), ["k"], update={"v": "s.v"}).table.count() == 0
 
 
+def test_a_hot_key_of_the_table_is_split(spark, conf):
+    conf(
+        autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB", adaptive__skewJoin__skewedPartitionFactor="2", shuffle__partitions="16",
+    )
+    table = spark.range(0, 300_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.hash("id").cast("string").alias("a"), F.lit(1).alias("v"))
+    source = spark.range(0, 3000, 1, 4).select(F.col("id").alias("k"), F.lit("s").alias("a"), F.lit(2).alias("v"))
+    found = merge(table, source, ["k"], update={"v": "s.v"}, insert=False)
+    stored = [r["count"] for r in found.table.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sum(stored) == 300_000 and max(stored) < 90_000  # the hot key alone has 100,000 rows
+    assert found.table.where("k = 7 AND v = 2").count() == 100_000
+
+
 # --- differences
 
 

@@ -246,6 +246,18 @@ def test_few_candidates_are_compared_whatever_the_lengths(spark):
     assert compared.agg(F.sum(F.expr("count * points"))).first()[0] < 8 * found
 
 
+def test_a_bin_with_a_third_of_the_points_is_split(spark, conf):
+    conf(
+        autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB", adaptive__skewJoin__skewedPartitionFactor="2", shuffle__partitions="16",
+    )
+    points = spark.range(0, 300_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 77_777).otherwise(F.col("id") * 7).alias("at"), F.hash("id").alias("p"))
+    spans = spark.range(0, 4000, 1, 4).select((F.col("id") * 500).alias("a"), (F.col("id") * 500 + 300).alias("b"))
+    found = interval_join(points, spans, "at", ("a", "b"))
+    assert len(found.collect()) == 100_000 + sum((7 * i) % 500 < 300 and 7 * i < 2_000_000 for i in range(300_000) if i % 3)
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_overlaps_and_conflicts(spark, conf):
     conf(shuffle__partitions=9, adaptive__coalescePartitions__enabled=False)
     rng = random.Random(4)
