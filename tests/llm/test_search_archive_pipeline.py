@@ -284,6 +284,23 @@ def test_stages_drop_what_a_plain_run_drops(spark, stages):
         assert ids(before) == ids(after)
 
 
+ODD = (
+    "id", "hash", "key", "tie", "size", "range", "rows", "bytes", "place", "block", "stream", "copy", "row", "c0", "c1", "fp", "score", "toxic", "mark",
+    "__id", "__hash", "__key", "__tie", "__size", "__range", "__rows", "__bytes", "__file", "__row", "__0", "component_id", "text_hash", "a.b", "file_name",
+)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_leave_columns_of_any_name_alone(spark, stages, tmp_path, name):
+    _, before, after = next(s for s in stages if s[0] == name)
+    spark.read.parquet(*before.inputFiles()).withColumns({n: F.lit(i) for i, n in enumerate(ODD)}).write.parquet(str(tmp_path / "d"))
+    odd = spark.read.parquet(str(tmp_path / "d"))
+    found = dict(corpus_pipeline.STAGES)[name](spark, odd, SMALL)
+    assert found.columns == odd.columns + (["shard", "slot"] if name == "sharding" else [])
+    rows = found.collect()
+    assert ids(found.select("doc_id")) == ids(after) and {tuple(r[n] for n in ODD) for r in rows} == {tuple(range(len(ODD)))}
+
+
 def test_shards_follow_the_stored_mixture(stages):
     _, mixed, placed = stages[-1]
     stored = [r.doc_id for r in mixed.orderBy("_metadata.file_name", "_metadata.row_index").select("doc_id").collect()]
