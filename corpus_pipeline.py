@@ -13,7 +13,7 @@ from rentledger.llm.mixing import mixed_documents
 from rentledger.llm.queries import MIXTURE, REST
 from rentledger.llm.sharding import histogram_sort
 from rentledger.llm.simhash import one_of_each
-from rentledger.sources.shared import shared_dir
+from rentledger.sources.shared import scratch, shared_dir
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole `documents` table; every stage's rows are stored in the shared folder."""
+    """All stages over the whole `documents` table; every stage's rows are stored in the shared folder, what it stores on its way is freed."""
     docs, folder = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
