@@ -324,9 +324,9 @@ ORACLES["stored_table_size"] = f"""
 
 ORACLES["bulk_sizes"] = """
     WITH n AS (SELECT count(*) AS made, count(*) - count(*) // 3 AS kept FROM lineitem)
-    SELECT 0 AS step, 'made' AS table_name, CAST(NULL AS BOOLEAN) AS smaller, made > 0 AS has_bytes, false AS footers_only, true AS shown FROM n
-    UNION ALL SELECT 1, 'kept', kept < made, kept > 0, false, true FROM n
-    UNION ALL SELECT 2, 'emptied', kept > 0, true, true, true FROM n
+    SELECT 0 AS step, 'made' AS table_name, CAST(NULL AS BOOLEAN) AS smaller, true AS sized, true AS shown FROM n
+    UNION ALL SELECT 1, 'kept', kept < made, true, true FROM n
+    UNION ALL SELECT 2, 'emptied', kept > 0, true, true FROM n
 """
 
 ORACLES["principal_name_list"] = f"SELECT customer_id, {PRINCIPAL} AS principal FROM ({CUSTOMERS})"
