@@ -105,8 +105,14 @@ def _grams(hashes: np.ndarray, gram: int) -> np.ndarray:
 
 def winnow(grams: np.ndarray, window: int) -> np.ndarray:
     """Places of the runs that are kept: the rightmost least one of each window, all of fewer runs than a window."""
-    if len(grams) <= window:
+    if len(grams) <= window or window == 1:
         return np.arange(len(grams))
+    if window == 2:
+        right = grams[1:] <= grams[:-1]
+        kept = np.zeros(len(grams), bool)
+        kept[1:] |= right
+        kept[:-1] |= ~right
+        return np.flatnonzero(kept)
     windows = np.lib.stride_tricks.sliding_window_view(grams, window)
     least = window - 1 - windows[:, ::-1].argmin(axis=1)
     return np.unique(np.arange(len(windows)) + least)
@@ -142,6 +148,7 @@ class Scanner:
     names: list[str]
     words: list[list[str]]
     index: dict[tuple[int, int], dict[int, list[tuple[int, int]]]]  # by sampling: kept hash to template and place
+    known: dict[tuple[int, int], np.ndarray]  # the kept hashes in order
     coverage: float
 
     @classmethod
@@ -154,7 +161,8 @@ class Scanner:
             grams = _grams(_hashes(words), gram)
             for i in winnow(grams, window).tolist():
                 index[gram, window][int(grams[i])].append((number, i))
-        return cls(names, own, {k: dict(v) for k, v in index.items()}, coverage)
+        known = {k: np.array(sorted(v), np.uint64) for k, v in index.items()}
+        return cls(names, own, {k: dict(v) for k, v in index.items()}, known, coverage)
 
     def _least(self, number: int) -> int:
         return math.ceil(self.coverage * len(self.words[number]) - 1e-9)
@@ -164,9 +172,10 @@ class Scanner:
         hashes, found = _hashes(words), defaultdict(list)
         for (gram, window), held in self.index.items():
             grams = _grams(hashes, gram)
-            kept = winnow(grams, window)
-            known = np.fromiter(held, np.uint64, len(held))
-            for j in kept[np.isin(grams[kept], known)].tolist():
+            kept, known = winnow(grams, window), self.known[gram, window]
+            own = grams[kept]
+            met = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
+            for j in kept[met].tolist():
                 for number, i in held[int(grams[j])]:
                     if words[j : j + gram] == self.words[number][i : i + gram]:
                         found[number, j - i].append((j, j + gram - 1))
@@ -178,8 +187,13 @@ class Scanner:
         The match with the most words is taken first, of equal ones the first template's, then the one that begins first. What lies
         across a taken match is aligned again in the words that are left beside it, so copies in a row are all found.
         """
-        spans = [m.span() for m in WORD.finditer(text or "")]
-        words = [text[a:b].lower() for a, b in spans]
+        text = text or ""
+        low = text.lower()
+        words = WORD.findall(low) if len(low) == len(text) else [w.lower() for w in WORD.findall(text)]
+        found = self.candidates(words)
+        if not found:
+            return []
+        spans = [m.span() for m in WORD.finditer(text)]
         queue: list[tuple] = []
 
         def put(number: int, at: int, runs: list[tuple[int, int]], low: int, high: int) -> None:
@@ -191,7 +205,7 @@ class Scanner:
             if matches >= least:
                 heapq.heappush(queue, (-matches, number, first, end, at, runs))
 
-        for (number, at), runs in self.candidates(words).items():
+        for (number, at), runs in found.items():
             put(number, at, runs, 0, len(words))
         starts: list[int] = []
         taken: dict[int, tuple] = {}  # first word: last word, result
@@ -214,8 +228,21 @@ class Scanner:
         return [taken[first][1] for first in starts]
 
 
+class _Words(dict):
+    """Hashes of words, kept for the words that come first."""
+
+    def __missing__(self, word: str) -> int:
+        value = crc32(word.encode("utf-8", "replace"))
+        if len(self) < 1 << 18:
+            self[word] = value
+        return value
+
+
+_WORDS = _Words()
+
+
 def _hashes(words: list[str]) -> np.ndarray:
-    return np.array([crc32(w.encode("utf-8", "replace")) for w in words], dtype=np.uint64)
+    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
 def _scan(shared) -> Callable:
