@@ -195,3 +195,14 @@ def test_a_source_that_differs_each_time_is_read_once(spark, made):
         assert first == second and not {k for _, k, _ in first} & {str(i) for i in range(20)}
         assert sorted(i for i, _, _ in first) == list(range(20, 20 + len(first)))
         assert change.table.count() == 20 + len(first)
+
+
+def test_null_keys_into_an_empty_table_are_read_once_and_all_kept(spark, table, tmp_path, monkeypatch):
+    monkeypatch.setattr("rentledger.sources.shared.shared_dir", lambda spark: str(tmp_path))
+    rows = [("a", 3), ("a", 1), ("a", None), (None, 4), (None, 4), ("b", 2)]
+    source = spark.createDataFrame(rows, "k STRING, v INT").distinct().union(spark.createDataFrame([(None, 4)], "k STRING, v INT"))
+    empty = spark.createDataFrame([], T)
+    result = ch.insert_skip_conflicts(empty, source, ["k"], ["v"], id_column="id")
+    assert bag(result.affected.select("k", "v")) == bag(spark.createDataFrame([("a", None), ("b", 2), (None, 4), (None, 4)], "k STRING, v INT"))
+    assert sorted(r.id for r in result.affected.collect()) == [1, 2, 3, 4]
+    assert len(list(tmp_path.glob("rows-*"))) == 1
