@@ -6,9 +6,12 @@ them. A point looks into its one bin of each width that occurs. As widths follow
 in the data, short and long bookings side by side neither fill wide bins with short intervals
 nor copy long ones into thousands of narrow bins.
 
-Intervals are counted per bin. Where one holds more than a task should compare every
-point with, its intervals are dealt to parts and its points are copied to each. Bins with many points are
+Where a bin holds more intervals than a task should compare every point with, its intervals are dealt to parts
+and its points are copied to each. Such bins are found in two steps: intervals are counted per bucket of bins, of which
+there is a fixed number, and only the bins of crowded buckets are counted one by one. Bins with many points are
 split by Spark's adaptive skew join, as both sides come straight from a shuffle.
+
+Rows go through the join in plain columns, so that only columns that are used later are moved and pairs are compared in place.
 """
 
 from __future__ import annotations
@@ -18,10 +21,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rentledger.operators.joins import semi_join
 from rentledger.operators.running import Running, with_running
 from rentledger.sources.shared import durable, stored_once
 
 PART = 10_000  # intervals of a bin that a point is compared with in one task
+BUCKETS = 1 << 16  # of bins of one width, for the first count
 _WIDEST = 31  # exponent of four; 2**62 is the widest bin
 
 
@@ -53,48 +58,65 @@ def interval_join(
     closed: bool = False,
     condition: Column | None = None,
     part: int = PART,
+    known_keys: bool = False,
 ) -> DataFrame:
     """Every point row with every span row around it: `from <= at < to`, or `<= to` if `closed`. All columns of both, which must differ.
 
     `keys` are pairs of columns that must be equal, `condition` is one more test of a pair. Rows with a NULL in any of these
     columns, and spans that end before they begin, match nothing. Each pair is found once, in the one
-    bin of the span's width that holds the point; rows that repeat give pairs that repeat.
+    bin of the span's width that holds the point; rows that repeat give pairs that repeat. Points whose keys no span has
+    are dropped before they are copied for each width; `known_keys` says that there are none.
     """
     start, end = between
     if clash := set(points.columns) & set(spans.columns):
         raise ValueError(f"columns of both sides: {sorted(clash)}")
     names = [f"_k{i}" for i in range(len(keys))]
     kinds = {**dict(points.dtypes), **dict(spans.dtypes)}
+    inner = {c: f"_{side}{i}" for side, table in (("p", points), ("s", spans)) for i, c in enumerate(table.columns)}  # names that clash with none
+    moved = lambda table: [F.col(c).alias(inner[c]) for c in table.columns]
     own = stored_once(spans).dropna(subset=[start, end, *(k for _, k in keys)]).where(F.col(start) <= F.col(end))
     asked = stored_once(points).dropna(subset=[at, *(k for k, _ in keys)])
+    if keys and not known_keys:
+        asked = semi_join(asked, own, [k for k, _ in keys], [k for _, k in keys])
     binned = _binned(
         own.select(
-            *(F.col(k).alias(n) for n, (_, k) in zip(names, keys)), F.struct(*spans.columns).alias("_span"),
+            *(F.col(k).alias(n) for n, (_, k) in zip(names, keys)), *moved(spans),
             _whole(F.col(start), kinds[start]).alias("_from"), _whole(F.col(end), kinds[end]).alias("_to"),
             F.monotonically_increasing_id().alias("_place"),
         )
     )
     place = [*names, "_level", "_bin"]
-    counted = durable(binned.groupBy(*place).agg(F.count(F.lit(1)).alias("n")))
-    levels = sorted(r[0] for r in counted.select("_level").distinct().collect()) or [0]  # widths, 31 at most
+    crowded, levels = _crowded(binned.select(*place), place, part)
     looked = (
-        asked.select(*(F.col(k).alias(n) for n, (k, _) in zip(names, keys)), F.struct(*points.columns).alias("_point"), _whole(F.col(at), kinds[at]).alias("_at"))
+        asked.select(*(F.col(k).alias(n) for n, (k, _) in zip(names, keys)), *moved(points), _whole(F.col(at), kinds[at]).alias("_at"))
         .withColumn("_level", F.explode(F.array(*(F.lit(n) for n in levels))))
         .withColumn("_bin", F.expr(_bin("_at", "_level")))
     )
-    crowded = counted.where(F.col("n") > part).select(*place, F.ceil(F.col("n") / part).alias("_parts"))
-    if not crowded.isEmpty():
+    if crowded is not None:
         parts = F.coalesce("_parts", F.lit(1))
         binned = binned.join(crowded, place, "left").withColumn("_part", F.pmod(F.xxhash64("_place"), parts)).drop("_parts")
         looked = looked.join(crowded, place, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
         place = [*place, "_part"]
-    inside = (F.col(f"_span.{start}") <= F.col(f"_point.{at}")) & (F.col(f"_point.{at}") <= F.col(f"_span.{end}"))
-    if not closed:
-        inside &= F.col(f"_point.{at}") < F.col(f"_span.{end}")
-    pairs = looked.join(binned.drop("_from", "_to", "_place"), place).where(inside).select("_point.*", "_span.*")
+    begun, when, over = F.col(inner[start]), F.col(inner[at]), F.col(inner[end])
+    inside = (begun <= when) & ((when <= over) if closed else (when < over))
+    pairs = looked.drop("_at").join(binned.drop("_from", "_to", "_place"), place).where(inside)
+    pairs = pairs.select(*(F.col(name).alias(c) for c, name in inner.items()))
     return pairs if condition is None else pairs.where(condition)
 
 
+def _crowded(bins: DataFrame, place: Sequence[str], part: int) -> tuple[DataFrame | None, list[int]]:
+    """The bins with more than `part` intervals and their number of parts, or None; and the widths that occur, 31 at most."""
+    hashed = bins.withColumn("_bucket", F.pmod(F.xxhash64(*place), F.lit(BUCKETS)))
+    counted = durable(hashed.groupBy("_level", "_bucket").agg(F.count(F.lit(1)).alias("n")))
+    levels = sorted(r[0] for r in counted.select("_level").distinct().collect()) or [0]
+    full = counted.where(F.col("n") > part).select("_level", "_bucket")
+    if full.isEmpty():
+        return None, levels
+    exact = hashed.join(full, ["_level", "_bucket"], "left_semi").groupBy(*place).agg(F.count(F.lit(1)).alias("n"))
+    crowded = durable(exact.where(F.col("n") > part).select(*place, F.ceil(F.col("n") / part).alias("_parts")))
+    return (None if crowded.isEmpty() else crowded), levels
+
+
 def conflicts(bookings: DataFrame, start: str, end: str, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Bookings that begin while an earlier one of the same `keys` lasts.
 
@@ -119,7 +141,7 @@ def overlaps(bookings: DataFrame, start: str, end: str, keys: Sequence[str], by:
     order = lambda side: F.struct(*(F.col(f"{side}_{c}") for c in (start, *by)))
     return interval_join(
         named(later, "second"), named(lasting, "first"), f"second_{start}", (f"first_{start}", f"first_{end}"),
-        [(f"second_{k}", f"first_{k}") for k in keys], condition=order("first") < order("second"), part=part,
+        [(f"second_{k}", f"first_{k}") for k in keys], condition=order("first") < order("second"), part=part, known_keys=True,
     )
 
 

@@ -290,3 +290,20 @@ def test_only_plain_sources_are_read_again(spark, tmp_path, made):
     source = made(table)
     kept = stored_once(source)
     assert kept is not source and kept.exceptAll(kept).count() == 0 and kept.inputFiles()[0] != table.inputFiles()[0]
+
+
+def test_few_counts_and_plain_columns_go_through_an_interval_join(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("rentledger.sources.shared.shared_dir", lambda spark: str(tmp_path / "shared"))
+    monkeypatch.setattr("rentledger.operators.intervals.BUCKETS", 16)
+    spark.range(4000).selectExpr("id AS s", "id % 50 AS k", "id * 10 AS a", "id * 10 + 1 + id % 200 AS b", "id AS unused").write.parquet(str(tmp_path / "spans"))
+    spark.range(3000).selectExpr("id AS p", "id % 700 AS `_bin`", "id * 13 AS at", "id AS `_s0`").write.parquet(str(tmp_path / "points"))
+    own, points = spark.read.parquet(str(tmp_path / "spans")), spark.read.parquet(str(tmp_path / "points"))
+    found = interval_join(points, own, "at", ("a", "b"), [("_bin", "k")])
+    assert found.columns == [*points.columns, *own.columns]
+    expected = {(p, s) for p in range(3000) if p % 700 < 50 for s in range(p % 700, 4000, 50) if s * 10 <= p * 13 < s * 10 + 1 + s % 200}
+    assert {(r.p, r.s) for r in found.collect()} == expected and expected
+    counted = spark.read.parquet(str(next((tmp_path / "shared").glob("rows-*"))))
+    assert counted.count() <= 16 * counted.select("_level").distinct().count() and counted.agg(F.sum("n")).first()[0] >= 4000
+    plan = found.select("p", "s")._jdf.queryExecution().optimizedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Relation" not in line]
+    assert any("LeftSemi" in line for line in moved) and not any("unused" in line or "_span" in line for line in moved)
