@@ -307,3 +307,11 @@ def test_few_counts_and_plain_columns_go_through_an_interval_join(spark, tmp_pat
     plan = found.select("p", "s")._jdf.queryExecution().optimizedPlan().toString()
     moved = [line for line in plan.splitlines() if "Relation" not in line]
     assert any("LeftSemi" in line for line in moved) and not any("unused" in line or "_span" in line for line in moved)
+
+
+def test_overlaps_compare_plain_columns_and_do_not_look_for_their_own_keys(spark):
+    table = spark.createDataFrame([(1, 0, 0, 9), (2, 0, 5, 7), (3, 1, 5, 7)], "id long, k long, a long, b long")
+    found = overlaps(table, "a", "b", ["k"], ["id"])
+    assert [(r.first_id, r.second_id) for r in found.collect()] == [(1, 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [word for word in ("_span", "_point", "LeftSemi") if word in plan]
