@@ -206,3 +206,27 @@ def test_null_keys_into_an_empty_table_are_read_once_and_all_kept(spark, table,
     assert bag(result.affected.select("k", "v")) == bag(spark.createDataFrame([("a", None), ("b", 2), (None, 4), (None, 4)], "k STRING, v INT"))
     assert sorted(r.id for r in result.affected.collect()) == [1, 2, 3, 4]
     assert len(list(tmp_path.glob("rows-*"))) == 1
+
+
+@pytest.mark.parametrize("held", [[], [(7, "a", 0), (8, None, 0)]])
+@pytest.mark.parametrize("rows", [[("a", 3), ("b", 2), (None, 4), (None, 4)], [("a", 3), ("b", 5), ("b", 2), ("a", 1), (None, 4), (None, 4)]])
+@pytest.mark.parametrize("id_column", ["id", None])
+def test_whole_sources_give_the_same_rows(spark, held, rows, id_column):
+    """As large as the table or not, with keys that repeat or not."""
+    table, source = spark.createDataFrame(held, T), spark.createDataFrame(rows, "k STRING, v INT").repartition(3)
+    one, other = (ch.insert_skip_conflicts(table, source, ["k"], ["v"], id_column=id_column, whole=whole) for whole in (True, False))
+    assert bag(one.affected.select("k", "v")) == bag(other.affected.select("k", "v"))
+    assert bag(one.table.select("k", "v")) == bag(other.table.select("k", "v"))
+    if id_column:
+        first = 9 if held else 1
+        assert sorted(r.id for r in one.affected.collect()) == list(range(first, first + one.affected.count()))
+    absent = [ch.insert_if_absent(table, source, ["k"], id_column=id_column, whole=whole).affected.select("k", "v") for whole in (True, False)]
+    assert bag(absent[0]) == bag(absent[1])
+
+
+def test_whole_sources_without_repeats_are_stored_once_and_not_grouped_as_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("rentledger.sources.shared.shared_dir", lambda spark: str(tmp_path))
+    source = spark.range(1000).selectExpr("uuid() AS k", "CAST(id AS INT) AS v")
+    result = ch.insert_skip_conflicts(spark.createDataFrame([], T), source, ["k"], ["v"], id_column="id", whole=True)
+    assert result.affected.count() == 1000 and len(list(tmp_path.glob("rows-*"))) == 1
+    assert "min_by" not in result.affected._jdf.queryExecution().executedPlan().toString()

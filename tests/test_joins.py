@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -153,3 +155,17 @@ def test_hot_key_is_split_in_updates_and_lookups(spark, large_tables):
         assert len(rows) == 600000
         assert is_split(found)
     assert {r.next for r in rows if r.k == 7} == {8}
+
+
+def test_hash_joins_hold_inside_the_block_only(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before, kinds = spark.conf.get(name), []
+    for block in (nullcontext(), joins.hash_joins(spark)):
+        with pytest.raises(KeyError), block:
+            joined = spark.range(0, 1000, 1, 4).join(spark.range(0, 500, 1, 3), "id")
+            assert joined.count() == 500
+            joined.collect()
+            kinds.append("ShuffledHashJoin" in joined._jdf.queryExecution().executedPlan().toString())
+            raise KeyError
+    assert kinds == [False, True] and spark.conf.get(name) == before
