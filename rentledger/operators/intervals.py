@@ -117,6 +117,13 @@ def _crowded(bins: DataFrame, place: Sequence[str], part: int) -> tuple[DataFram
     return (None if crowded.isEmpty() else crowded), levels
 
 
+def _swept(bookings: DataFrame, start: str, end: str, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Bookings that last, with the largest end of those before them."""
+    return with_running(
+        bookings.where(F.col(start) < F.col(end)), {"_busy_until": Running("max", end, before=True)}, [start], keys, ties=by
+    )
+
+
 def conflicts(bookings: DataFrame, start: str, end: str, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Bookings that begin while an earlier one of the same `keys` lasts.
 
@@ -124,9 +131,7 @@ def conflicts(bookings: DataFrame, start: str, end: str, keys: Sequence[str], by
     so far, carried over ranges: no booking is compared with another one, and a hot key is cut.
     Bookings without a beginning or an end, or of no length, take no time and conflict with nothing.
     """
-    swept = with_running(
-        bookings.where(F.col(start) < F.col(end)), {"_busy_until": Running("max", end, before=True)}, [start], keys, ties=by
-    )
+    swept = _swept(bookings, start, end, keys, by)
     return swept.where(F.col(start) < F.col("_busy_until")).drop("_busy_until")
 
 
@@ -134,14 +139,17 @@ def overlaps(bookings: DataFrame, start: str, end: str, keys: Sequence[str], by:
     """Pairs of bookings of the same `keys` that overlap, each once: all columns as `first_...` and `second_...`, the earlier one first.
 
     Only bookings that the sweep finds in conflict are looked up among the others. Bookings with NULL keys are not paired.
+    What the sweep finds is stored, and both sides of the pairs are read from there. `by` is compared only where two begin at once.
     """
-    lasting = bookings.where(F.col(start) < F.col(end))
-    later = conflicts(bookings, start, end, keys, by)
+    swept = durable(_swept(bookings, start, end, keys, by))
+    lasting, later = (rows.drop("_busy_until") for rows in (swept, swept.where(F.col(start) < F.col("_busy_until"))))
     named = lambda df, side: df.select(*(F.col(c).alias(f"{side}_{c}") for c in df.columns))
-    order = lambda side: F.struct(*(F.col(f"{side}_{c}") for c in (start, *by)))
+    ties = lambda side: F.struct(*(F.col(f"{side}_{c}") for c in by))
+    begun, begins = F.col(f"first_{start}"), F.col(f"second_{start}")
+    earlier = (begun < begins) | ((begun == begins) & (ties("first") < ties("second"))) if by else begun < begins
     return interval_join(
         named(later, "second"), named(lasting, "first"), f"second_{start}", (f"first_{start}", f"first_{end}"),
-        [(f"second_{k}", f"first_{k}") for k in keys], condition=order("first") < order("second"), part=part, known_keys=True,
+        [(f"second_{k}", f"first_{k}") for k in keys], condition=earlier, part=part, known_keys=True,
     )
 
 

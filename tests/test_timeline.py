@@ -315,3 +315,15 @@ def test_overlaps_compare_plain_columns_and_do_not_look_for_their_own_keys(spark
     assert [(r.first_id, r.second_id) for r in found.collect()] == [(1, 2)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert not [word for word in ("_span", "_point", "LeftSemi") if word in plan]
+
+
+def test_overlaps_read_bookings_once(spark):
+    """Random beginnings differ each time they are read; every booking has one, and pairs are those of a plain comparison."""
+    begin = F.floor(F.rand() * 200)
+    drawn = spark.range(0, 300, 1, 4).select(F.lit(1).alias("k"), F.col("id").alias("n"), begin.alias("s")).withColumn("e", F.col("s") + 1 + F.col("n") % 7)
+    pairs = overlaps(drawn, "s", "e", ["k"], ["n"]).collect()
+    rows = {(p[f"{side}_n"], p[f"{side}_s"]) for p in pairs for side in ("first", "second")}
+    spans = {n: (s, n, s + 1 + n % 7) for n, s in rows}
+    assert pairs and len(spans) == len(rows)
+    wanted = {(a[1], b[1]) for a in spans.values() for b in spans.values() if a < b and b[0] < a[2]}
+    assert sorted((p.first_n, p.second_n) for p in pairs) == sorted(wanted)
