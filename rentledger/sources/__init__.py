@@ -1,6 +1,6 @@
 """Reading, making and writing tables."""
 
-from rentledger.sources.shared import durable, scratch, shared_dir
+from rentledger.sources.shared import durable, scratch, shared_dir, shuffles_freed
 from rentledger.sources.tables import (
     append,
     append_to,
@@ -29,6 +29,7 @@ __all__ = [
     "scratch",
     "sequence_table",
     "shared_dir",
+    "shuffles_freed",
     "table_size",
     "truncate",
     "with_defaults",
